@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from brightledger.session import free_name
 
@@ -182,6 +183,7 @@ def find_leaks(
     spark = docs.sparkSession
     d = docs.select(F.col(doc_key), F.col(doc_text).alias(free_name([doc_key], "text")))
     kind = items.schema[item_key].dataType
+    item_type = to_arrow_type(kind)
     item_out = free_name([doc_key], item_key)
     schema = T.StructType([d.schema.fields[0], T.StructField(item_out, kind), T.StructField("covered", T.DoubleType()), T.StructField("same", T.DoubleType())])
 
@@ -205,7 +207,6 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             passages = _Passages(*data.value, rare)
-            item_type = pa.array([x for ids, _ in data.value[0] for x in ids]).type
             for batch in batches:
                 at, item, covered, same = [], [], [], []
                 for r, text in enumerate(batch.column(1).to_pylist()):

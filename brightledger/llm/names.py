@@ -208,6 +208,8 @@ def read_name(name: str | None) -> tuple[str, list[str], str, str] | None:
             out.append(w)
             continue
         for x in k.split():
+            if x in FILLERS:
+                continue
             if x in KINDS or x == "lgu":
                 kind.append(x if x == "press" else x.rstrip("s"))
             elif x not in LEGAL:
@@ -229,6 +231,7 @@ def read_name(name: str | None) -> tuple[str, list[str], str, str] | None:
 RADIUS = 2
 #: Width of a cell along one pivot's distance, pivots that make cells (the empty name, whose distance is the length, is one more), and pivots that only filter.
 WIDTH, CELL_PIVOTS, FILTER_PIVOTS = 5, 2, 6
+PIVOT_LETTERS = 64
 #: Points of a cell that one task joins with its visitors; larger cells are split.
 CELL_POINTS = 4000
 
@@ -262,8 +265,11 @@ def read_names(names: DataFrame) -> DataFrame:
 
 
 def choose_pivots(points: DataFrame, n: int, sample: int = 96) -> list[str]:
-    """``n`` pivots far apart, from a sample of ``sample`` points in order of their hash (so the choice is the same each time)."""
-    found = [r.point for r in points.select("point").distinct().orderBy(F.md5("point"), "point").limit(sample).collect()]
+    """``n`` pivots far apart, from a sample of ``sample`` points in order of their hash (so the choice is the same each time).
+
+    Points over ``PIVOT_LETTERS`` are no pivots, so that a distance costs little whatever the point's length.
+    """
+    found = [r.point for r in points.filter(F.length("point") <= PIVOT_LETTERS).select("point").distinct().orderBy(F.md5("point"), "point").limit(sample).collect()]
     chosen: list[str] = []
     while found and len(chosen) < n:
         best = max(found, key=lambda x: (min((edit(x, c, 99) for c in chosen), default=len(x)), x))
@@ -364,15 +370,16 @@ def link_names(names: DataFrame) -> DataFrame:
     Fields are resolved apart. Null and wordless names have no rows; repeated rows are one. A name alike only by an initial
     or nickname to several persons that exclude each other stays by itself. An empty table gives an empty table.
     """
-    read = written(read_names(names.filter(F.col("name").isNotNull()).distinct()), "names")
-    keys = read.groupBy("field", "kind", "words", "given", "middle", "key").agg(F.count("*").alias("n"), F.flatten(F.collect_set("points")).alias("points"))
-    usage = keys.select("field", "key", F.posexplode("words").alias("at", "w"))
-    used = usage.select("w", "field", "key").distinct().groupBy("w").agg(F.count("*").alias("u"))
-    each = usage.join(used, "w").groupBy("field", "key").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "u"))), lambda x: x["u"]).alias("used"))
-    keys = keys.join(each, ["field", "key"], "left").withColumn("used", F.coalesce("used", F.array().cast("array<bigint>")))
+    read = read_names(names.filter(F.col("name").isNotNull()).distinct())
+    read = written(read.withColumn("id", F.md5(F.concat_ws("|", "field", "key"))).drop("key"), "names")
+    keys = read.groupBy("id").agg(*[F.min(c).alias(c) for c in ("field", "kind", "words", "given", "middle")], F.count(F.lit(1)).alias("n"), F.flatten(F.collect_set("points")).alias("points"))
+    usage = keys.select("id", F.posexplode("words").alias("at", "w"))
+    used = usage.select("w", "id").distinct().groupBy("w").agg(F.count("*").alias("u"))
+    each = usage.join(used, "w").groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "u"))), lambda x: x["u"]).alias("used"))
+    keys = keys.join(each, "id", "left").withColumn("used", F.coalesce("used", F.array().cast("array<bigint>")))
     # Persons' fullness: given and middle name, given name, initials.
     full = F.when(F.col("kind") != "person", 0).otherwise(2 * (F.length("given") > 1).cast("int") + (F.length("middle") > 0).cast("int"))
-    keys = written(keys.withColumn("full", full).withColumn("id", F.concat_ws("|", "field", "key")), "keys")
+    keys = written(keys.withColumn("full", full), "keys")
     points = keys.select("field", "kind", "id", F.explode(F.array_distinct("points")).alias("point"))
     pairs = radius_join(written(points, "points"), ["field", "kind"], "point")
     side = lambda s: keys.select(F.col("id").alias(f"id_{s}"), F.struct("words", "used", "given", "middle", "n", "full").alias(s))
@@ -405,7 +412,7 @@ def link_names(names: DataFrame) -> DataFrame:
         parent = jumped.select("id", "parent")
         if not jumped.filter("moved").limit(1).count():
             break
-    found = read.select("field", "name", F.concat_ws("|", "field", "key").alias("id")).join(parent, "id", "left")
+    found = read.select("field", "name", "id").join(parent, "id", "left")
     return found.select("field", "name", F.coalesce("parent", "id").alias("entity"))
 
 

@@ -87,4 +87,4 @@ def test_alignment_against_brute_force():
 
 
 def test_words():
-    assert leaks.words("Ｌot No. 1,234.50 日本 Café") == ["lot", "no", "123450", "日", "本", "cafe"] and leaks.words(None) == []
+    assert leaks.words("Ｌot No. 1,234.50 日本 Café") == ["lot", "no", "123450", "日", "本", "café"] and leaks.words(None) == []
