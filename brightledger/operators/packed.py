@@ -47,6 +47,8 @@ _NOT_GIVEN = re.compile(r"\b[nN]/[aA]\b")
 
 #: Observations of the pooled score that a source's own score is mixed with.
 PRIOR = 50
+#: Letters of packed fields that one output batch repeats.
+OUT_LETTERS = 50_000_000
 #: A sign is taken from this score on.
 LEAST = 0.35
 
@@ -204,20 +206,30 @@ def unpack(df: DataFrame, column: str, listed: list[str] | None = None, source:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, list[str]] = {}
         for batch in batches:
-            rows, pos, values, counts = [], [], [], []
+            rows, pos, values, counts, letters = [], [], [], [], 0
+
+            def out(batch=batch) -> pa.RecordBatch:
+                kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
+                return pa.RecordBatch.from_arrays([*kept, pa.array(pos, pa.int32()), pa.array(values, pa.string()), pa.array(counts, pa.int32())], names=[*batch.schema.names[:-1], *names])
+
             for r, (v, own) in enumerate(zip(batch.column(at).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist())):
                 key = (v, tuple(own or ()))
                 got = seen.get(key)
                 if got is None:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    got = seen[key] = split_value(v, set(key[1]), held)
+                    got = split_value(v, set(key[1]), held)
+                    if len(v or "") <= 1000:
+                        if len(seen) > 50_000:
+                            seen.clear()
+                        seen[key] = got
                 for i, x in enumerate(got):
                     rows.append(r)
                     pos.append(i + 1)
                     values.append(x)
                     counts.append(len(got))
-            kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pos, pa.int32()), pa.array(values, pa.string()), pa.array(counts, pa.int32())], names=[*batch.schema.names[:-1], *names])
+                    letters += len(v)
+                    if letters > OUT_LETTERS:  # the whole field goes with each of its values
+                        yield out()
+                        rows, pos, values, counts, letters = [], [], [], [], 0
+            yield out()
 
     return joined.mapInArrow(run, schema)
