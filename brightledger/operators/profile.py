@@ -104,30 +104,45 @@ def shape(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"\p{Nd}", "9"), r"\p{L}", "A")
 
 
+def _scan(df: DataFrame, files: list[str]) -> DataFrame:
+    spark = df.sparkSession
+    return spark.read.schema(df.schema).parquet(*files) if files else spark.createDataFrame([], df.schema)
+
+
 def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, rows, missing, distinct_values, least, greatest) of ``columns`` of a plain Parquet read; extrema as text.
 
-    Nulls and blank texts are missing and not counted as values. Row and null counts and extrema come from footers; a text
-    column's distinct values and blanks come from its dictionaries and, like what footers lack, from a scan where they must. NaN is a value and the greatest one.
-    An empty table gives 0 rows and null extrema.
+    Nulls and blank texts are missing and not counted as values. Row and null counts come from footers. A text column's values come
+    from its dictionaries, and only files whose dictionaries hold a blank (or whose footers lack the null count) are scanned for missing ones. Other columns
+    are scanned for their distinct values, as their dictionaries cannot be had; their extrema come from footers, but for floating numbers, whose
+    footers leave out NaN (a value, and the greatest). An empty table gives 0 rows and null extrema.
     """
     types = dict(df.dtypes)
     foot = written(chunks(df, columns), "footers")
-    whole = foot.groupBy("column_name").agg(F.sum("rows").alias("rows"))
+    totals = {r.column_name: r for r in foot.groupBy("column_name").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.collect_set(F.when(F.col("nulls").isNull(), F.col("path"))).alias("unknown"), F.min("least").alias("least"), F.max("greatest").alias("greatest"), F.count_if(F.col("least").isNull() & (F.col("rows") > F.coalesce("nulls", F.lit(0)))).alias("cut")).collect()}
     parts = []
     for c in columns:
-        t = F.col(c)
-        text = types[c] == "string"
-        shown = F.date_format(t, "yyyy-MM-dd HH:mm:ss") if types[c].startswith("timestamp") else t.cast("string")
-        seen = df.select(t).filter(t.isNotNull()) if not text else df.select(t).filter(F.length(F.trim(t)) > 0)
-        n = seen.groupBy(c).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("n").alias("present"), F.min(c).alias("lo"), F.max(c).alias("hi"))
-        row = n.withColumn(c, F.col("lo")).withColumn("least", shown).withColumn(c, F.col("hi")).withColumn("greatest", shown)
-        parts.append(row.select(F.lit(c).alias("column_name"), "distinct_values", F.coalesce("present", F.lit(0)).alias("present"), "least", "greatest"))
+        t, total = F.col(c), totals.get(c)
+        rows, nulls, unknown = (total.rows, total.nulls or 0, set(total.unknown)) if total else (0, 0, set())
+        blank = t.isNull() | (F.length(F.trim(t)) == 0) if types[c] == "string" else t.isNull()
+        if types[c] == "string" and total:
+            values = written(dictionary_values(df, c), "values")
+            odd = {r.path for r in values.filter(F.length(F.trim("value")) == 0).select("path").distinct().collect()}
+            nulls = sum(r.nulls or 0 for r in foot.filter((F.col("column_name") == c) & ~F.col("path").isin(*(odd | unknown or {""}))).select("nulls").collect())
+            seen = values.filter(F.length(F.trim("value")) > 0).agg(F.countDistinct("value").alias("distinct_values"), F.min("value").alias("least"), F.max("value").alias("greatest"))
+            again = sorted(odd | unknown)
+        else:
+            shown = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss") if types[c].startswith("timestamp") else x.cast("string")  # noqa: B023, E731
+            seen = df.filter(t.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("distinct_values"), shown(F.min(c)).alias("least"), shown(F.max(c)).alias("greatest"))
+            if total and not total.cut and types[c] in ("date", "timestamp_ntz", "timestamp"):
+                seen = seen.withColumn("least", F.lit(total.least)).withColumn("greatest", F.lit(total.greatest))
+            again = sorted(unknown)
+        more = _scan(df, again).filter(blank).count() if again else 0
+        parts.append(seen.select(F.lit(c).alias("column_name"), F.lit(rows).cast("bigint").alias("rows"), F.lit(nulls + more).cast("bigint").alias("missing"), F.col("distinct_values").cast("bigint").alias("distinct_values"), "least", "greatest"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    joined = out.join(whole, "column_name", "left")
-    return joined.select("column_name", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), (F.coalesce("rows", F.lit(0)) - F.col("present")).cast("bigint").alias("missing"), F.col("distinct_values").cast("bigint").alias("distinct_values"), "least", "greatest")
+    return out
 
 
 def _files_with(foot: DataFrame, column: str, cleared: Column) -> DataFrame:

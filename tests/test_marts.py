@@ -146,6 +146,7 @@ def built(spark, amounts, thresholds):
 
     rows = [award(i, contract_amount=[400_000.0, 950_000.0, 1_050_000.0, 20_000.0][i % 4], area_of_delivery="A", awardee_name=["ACME", "ACME INC", "ACME INC - X", "BEST"][i % 4]) for i in range(24)]
     rows += [award(50 + i, contract_amount=400_000.0, area_of_delivery="A, B") for i in range(3)] + [award(90, reference_id="r0", contract_amount=400_000.0, area_of_delivery="A", awardee_name="ACME")]
+    rows += [award(70 + i, contract_amount=400_000.0, awardee_name="GAMMA") for i in range(3)]
     areas = spark.createDataFrame([("A", "Alpha", "province"), ("B", "Beta", "province")], "token string, canonical string, kind string")
     t = pipeline.build(frame(spark, rows), areas, amounts.withColumn("round_amount", F.col("round_amount").cast("string")), thresholds, cfg=CFG, keep=True)
     return {k: v.cache() for k, v in t.items()}
@@ -159,7 +160,7 @@ def test_sound_build(built):
     results = checks.run_checks(built, CFG)
     assert results.count() == 21 and failed(built) == {} and checks.publishable(results)
     assert pipeline.report(built, CFG)["publishable"]
-    assert built["suppliers"].count() == 2 and built["rejected"].count() == 1
+    assert built["suppliers"].count() == 3 and built["rejected"].count() == 1
 
 
 def bad(df, **cols):
