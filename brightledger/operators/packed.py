@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brightledger.functions.text import plain
-from brightledger.session import free_name
+from brightledger.session import free_name, written
 
 #: Candidate signs: name -> pattern.
 CANDIDATES = {
@@ -164,7 +164,7 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
                 names=out.names,
             )
 
-    counts = src.mapInArrow(run, out).groupBy("source", "sign", "pieces").agg(F.sum("n").alias("n"), F.sum("regular").alias("regular"))
+    counts = written(src.mapInArrow(run, out).groupBy("source", "sign", "pieces").agg(F.sum("n").alias("n"), F.sum("regular").alias("regular")), "signs")
     # Regularity of the pieces, lowered where it differs between records of other piece counts.
     each = counts.groupBy("source", "sign").agg(
         F.sum("n").alias("n"), (F.sum("regular") / (2 * F.sum("n"))).alias("regular"),
