@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +42,18 @@ OPENERS = frozenset(
 )
 # Of the openers, those that are as common within a sentence.
 COMMON = frozenset("the as in on at per all any total no form see work what how who ang mga el la los las se am das der die im η ο οι το".split())
+# Words (casefolded) after which a sentence goes on, also over a line break.
+CONNECT = frozenset(
+    """a an the of in on at to for by from with and or as per that this is was were are be been not no than under over until about
+    ang ng sa na mga ni kay si nina at o noong nang mas para ayon ay
+    el la los las un una de del al por para con en y o que se si su según
+    der die das den dem des ein eine einen von vom zu zum zur bei im in am und oder mit für an auf unter
+    του της των τον την το η ο οι τα στο στη στην από για και είναι με ότι
+    ने के की का को पर से में और जो लिए
+    إلى على من عن في أن هل مبلغ بقيمة السيد شركة""".split()
+)
+# Of the openers, those that headings begin with as well.
+HEADS = frozenset("notice lot form status total work delivery payment acta minutes re no".split())
 # Words before a German ordinal number.
 BEFORE_ORDINAL = frozenset("am der die das den dem des vom zum zur beim im ab bis seit und jeder jede jedes dieser".split())
 # Verbs that tie a closed quotation to its speaker.
@@ -57,6 +70,7 @@ _LIST = re.compile(r"(?:[-–—•*·▪◦‣○●]|\(?\d{1,3}[.)]|\(?[A-Za-z
 _END = re.compile(rf"[{re.escape(MARKS)}]+[{re.escape(CLOSERS)}]*")
 _WORD = re.compile(r"[^\W_]+(?:[.'’][^\W_]+)*\.?")
 _THAI = re.compile(r"(?<=[ก-๎])[^\S\n]+(?=[ก-๎])")
+_QUOTE = re.compile("[" + re.escape("".join(OPEN) + "".join(OPEN.values()) + '"') + "]")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ]")
 
 #: Spans that hold more candidate ends than this have no probability in the model.
@@ -87,8 +101,10 @@ def _greek(text: str, at: int, lo: int) -> bool:
 
 def letter_case(text: str, least: int = 1) -> str:
     """``upper`` or ``lower`` if (nearly) all cased letters are so, else ``mixed`` (also for fewer than ``least``)."""
-    up = sum(1 for c in text if c.isupper())
-    low = sum(1 for c in text if c.islower())
+    return _case(sum(map(str.isupper, text)), sum(map(str.islower, text)), least)
+
+
+def _case(up: int, low: int, least: int) -> str:
     if up + low < least or (up and low and up < 9 * low):
         return "mixed"
     return "upper" if up > low else "lower"
@@ -97,6 +113,10 @@ def letter_case(text: str, least: int = 1) -> str:
 class _Block:
     def __init__(self, text: str, lo: int, hi: int, case: str):
         self.text, self.lo, self.hi, self.whole, self.case = text, lo, hi, case, case
+        if case == "mixed":
+            part = text[lo:hi]
+            self.uppers = [0, *accumulate(map(str.isupper, part))]
+            self.lowers = [0, *accumulate(map(str.islower, part))]
 
     def next_word(self, at: int) -> str:
         m = _WORD.match(self.text, at, self.hi)
@@ -126,8 +146,11 @@ class _Block:
     def close(self, start: int, end: int, nxt: int) -> float:
         """Score of closing after the marks ``text[start:end]`` when the next unit would begin at ``nxt``."""
         text, lo = self.text, self.lo
-        around = text[max(lo, start - 80) : start] + text[nxt : nxt + 80]
-        self.case = letter_case(around, 20) if self.whole == "mixed" else self.whole
+        if self.whole == "mixed":
+            spans = (max(lo, start - 80), start), (nxt, min(nxt + 80, self.hi))
+            self.case = _case(*(sum(c[b - lo] - c[a - lo] for a, b in spans) for c in (self.uppers, self.lowers)), 20)
+        else:
+            self.case = self.whole
         run = text[start:end]
         marks = run.rstrip(CLOSERS)
         closed = run[len(marks):]
@@ -213,35 +236,37 @@ class _Block:
         return at if i > self.lo and text[i - 1] in MARKS else -1
 
 
-def _balance(text: str, lo: int, hi: int) -> tuple[list[int], list[int]]:
-    """Nesting depth and parity of straight quotes before each position of ``text[lo:hi]``."""
-    depth, parity = [0] * (hi - lo + 1), [0] * (hi - lo + 1)
-    d = q = low = 0
-    for i in range(lo, hi):
+def _balance(text: str, lo: int, hi: int, places: list[int]) -> dict[int, tuple[int, int]]:
+    """Nesting depth and parity of straight quotes before each of ``places`` (in order) of ``text[lo:hi]``."""
+    out = {}
+    d = q = low = k = 0
+    for m in _QUOTE.finditer(text, lo, hi):
+        i = m.start()
+        while k < len(places) and places[k] <= i:
+            out[places[k]] = (d, q)
+            k += 1
         c = text[i]
         if c == "„":
             low += 1
             d += 1
         elif c == "“":
-            if low:
-                low -= 1
-                d -= 1
-            else:
-                d += 1
+            d += -1 if low else 1
+            low -= low > 0
         elif c in OPEN:
             d += 1
         elif c in SHUT:
             d -= 1
-            if c == ")" and d < 0 and i - lo < 1_000_000:  # a list mark such as "2)" opens nothing
+            if c == ")" and d < 0:  # a list mark such as "2)" opens nothing
                 j = i
-                while j > lo and text[j - 1].isalnum():
+                while j > lo and i - j <= 5 and text[j - 1].isalnum():
                     j -= 1
                 if i - j <= 5:
                     d += 1
-        elif c == '"':
+        else:
             q ^= 1
-        depth[i - lo + 1], parity[i - lo + 1] = d, q
-    return depth, parity
+    for p in places[k:]:
+        out[p] = (d, q)
+    return out
 
 
 def _wrap(text: str, lines: list[tuple[int, int]]) -> int:
@@ -252,6 +277,25 @@ def _wrap(text: str, lines: list[tuple[int, int]]) -> int:
     return w if 55 <= w <= 100 else 0
 
 
+def _runs_on(text: str, a: int, b: int, a2: int, found: dict[int, tuple[int, float]]) -> bool:
+    """Whether the line ``text[a:b]``, which has no end mark, breaks off within a sentence that the next line goes on with.
+
+    So it is if the line ended other sentences before (a heading has the line for itself), ends in a word that calls for more, or begins like a sentence.
+    """
+    thai = lambda c: "ก" <= c <= "๎"
+    if thai(text[b - 1]) or thai(text[a2]):
+        return False
+    if any(a < e < b and g > 1 for e, (_, g) in found.items()):
+        return True
+    words = text[a:b].split()
+    last = words[-1].strip("(\"'“«„‘¿¡").casefold()
+    if last in CONNECT or text[b - 1] in ",،、，":
+        return True
+    line = text[a:b]
+    first = words[0].strip("(\"'“«„‘").rstrip(",").casefold()
+    return first in OPENERS and first not in HEADS and len(words) > 1 and not line.isupper() and line[-1] not in ":："
+
+
 def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
     block = _Block(text, lo, hi, case)
     # Lines of the block.
@@ -308,6 +352,8 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
             g = 8.0
         elif broken:
             g = -5.0
+        elif _runs_on(text, a, b, a2, found):
+            g = -5.0
         elif case == "mixed" and text[a2].islower() and a not in marks and not (len(word) > 2 and word[1].isupper()):
             g = -5.0
         else:
@@ -321,17 +367,18 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
     starts = [lo] + [found[e][0] for e in ends]
     score = [found[e][1] for e in ends] + [0.0]
     ends.append(hi)
-    depth, parity = _balance(text, lo, hi)
+    state = _balance(text, lo, hi, sorted({*starts, *ends}))
+    at_start, at_end = [state[p] for p in starts], [state[p] for p in ends]
     n = len(ends)
     best = [0.0] + [float("-inf")] * n
     back = [0] * (n + 1)
     for j in range(1, n + 1):
         e = ends[j - 1]
-        dj, pj = depth[e - lo], parity[e - lo]
+        here = at_end[j - 1]
         for i in range(j - 1, max(-1, j - 1 - WIDEST), -1):
             s = starts[i]
             value = best[i] + score[j - 1]
-            if dj != depth[s - lo] or pj != parity[s - lo]:
+            if here != at_start[i]:
                 value -= 9.0
             if e - s < 3:
                 value -= 0.5
