@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,8 @@ BLOCK_BYTES = 4_000_000
 _WORD = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ฀-๿຀-໿က-႟ក-៿]|(?:(?![぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ฀-๿຀-໿က-႟ក-៿])[^\W_])+")
 
 
+# Marks that copies add or leave out; those of Indic and Thai letters stay.
+_SILENT = regex.compile(r"[[\p{Mn}\p{Cf}]--[\u0900-\u0DFF\u0E00-\u0E7F]]+", regex.V1)
 # Points and commas within a number, which copies add or leave out.
 _INNER = re.compile(r"(?<=\d)[.,](?=\d)")
 
@@ -39,7 +42,7 @@ def words(text: str | None) -> list[str]:
         return []
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
-        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf") or "฀" <= c <= "๿" or "ऀ" <= c <= "෿")
+        text = _SILENT.sub("", text)
     return _WORD.findall(_INNER.sub("", text.casefold()))
 
 
