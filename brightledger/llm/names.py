@@ -43,7 +43,7 @@ SHORT = {
     "sec": "security", "agcy": "agency", "svcs": "services", "svc": "services", "serv": "services", "sup": "supply", "med": "medical", "equipt": "equipment", "eqpt": "equipment", "sys": "systems",
     "provl": "provincial", "cmd": "command", "brd": "board", "fin": "finance", "indl": "industrial", "ind": "industrial", "elec": "electrical", "electl": "electrical", "hdwe": "hardware", "hdw": "hardware", "stn": "station", "sta": "station", "bldrs": "builders", "trdg": "trading", "trdng": "trading",
     "distribtrs": "distributors", "distr": "distributors", "sch": "school", "soln": "solutions", "solns": "solutions", "wrks": "works", "pwr": "power", "bldg": "building", "bldgs": "buildings", "meds": "medicines",
-    "autoparts": "auto parts", "agriventures": "agri ventures", "fuelstation": "fuel station", "dept": "department", "pharm": "pharma", "pres": "press", "prtg": "printing", "intl": "international",
+    "autoparts": "auto parts", "agr": "agri", "agriventures": "agri ventures", "fuelstation": "fuel station", "dept": "department", "pharm": "pharma", "pres": "press", "prtg": "printing", "intl": "international",
 }
 # Words left out of kinds and cores.
 FILLERS = frozenset("of the and for no num number region regional de la ng".split())
@@ -107,7 +107,7 @@ def _kind_word(w: str) -> str | None:
     if w in SHORT:
         return SHORT[w]
     if len(w) >= 6:
-        near = [k for k in KINDS | LEGAL if abs(len(k) - len(w)) <= 1 and len(k) >= 6 and edit(w, k, 1) <= 1]
+        near = [k for k in KINDS | LEGAL if abs(len(k) - len(w)) <= 1 and len(k) >= 5 and edit(w, k, 1) <= 1]
         if len(near) == 1:
             return near[0]
     return None
@@ -320,10 +320,14 @@ def _compatible(a: tuple[str, str], b: tuple[str, str]) -> bool:
 
 #: A word used by at most this share of the names that use its neighbour (or by one name only) counts as its misspelling.
 RARE_SHARE = 0.2
+#: The same share where a letter is swapped, left out or added.
+SLIP_SHARE = 0.5
 
 
-def _rare(a: int, b: int) -> bool:
-    return min(a, b) <= max(1, RARE_SHARE * max(a, b))
+def _rare(a: str, b: str, used_a: int, used_b: int) -> bool:
+    """Whether one word is rare enough beside the other to be its misspelling. Words of other letters (and as many) need the most evidence."""
+    slip = len(a) != len(b) or sorted(a) == sorted(b)
+    return min(used_a, used_b) <= max(1, (SLIP_SHARE if slip else RARE_SHARE) * max(used_a, used_b))
 
 
 def evidence(wa: list[str], wb: list[str], ua: list[int], ub: list[int], pa_: tuple, pb: tuple, distance: int) -> bool:
@@ -335,7 +339,7 @@ def evidence(wa: list[str], wb: list[str], ua: list[int], ub: list[int], pa_: tu
             return True
         if edit(wa[0], wb[0], 1) > 1:
             return False
-        return (pa_ == pb and len(pa_[0]) > 1) or _rare(ua[0], ub[0])
+        return (pa_ == pb and len(pa_[0]) > 1) or _rare(wa[0], wb[0], ua[0], ub[0])
     if not distance:
         return True
     if sorted(w for w in wa if w.isdigit()) != sorted(w for w in wb if w.isdigit()):
@@ -357,8 +361,8 @@ def evidence(wa: list[str], wb: list[str], ua: list[int], ub: list[int], pa_: tu
         if len(a) < 4 or len(b) < 4:
             return False
         if edit(a, b, 1) <= 1:
-            return _rare(used_a, used_b)
-        return len(ja) >= 14 and len(a) >= 8 and _rare(used_a, used_b) and max(used_a, used_b) > 1
+            return _rare(a, b, used_a, used_b)
+        return len(ja) >= 14 and len(a) >= 8 and _rare(a, b, used_a, used_b) and max(used_a, used_b) > 1
     odd_a, odd_b = [w for w in wa if w not in wb], [w for w in wb if w not in wa]
     once = min(max((ua[wa.index(w)] for w in odd_a), default=0), max((ub[wb.index(w)] for w in odd_b), default=0))
     return len(ja) >= 8 and distance <= 2 and once <= 1
