@@ -15,7 +15,6 @@ shorter text, and a row of tokens is an encoding if each two neighbours are (Ber
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -31,11 +30,8 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pre-splitting pattern of the 50k byte-level vocabulary.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# A single blank between two other characters.
-_APART = re.compile(r"(?<=\S) (?=\S)").split
-
-#: Distinct pieces, and words, whose ids a worker keeps; beyond it the store is emptied. It bounds memory, never the result.
-KEPT_PIECES = 250_000
+#: Distinct pieces whose ids a worker keeps; beyond it the store is emptied. It bounds memory, never the result.
+KEPT_PIECES = 400_000
 #: Transducer states a worker keeps before it starts over.
 KEPT_STATES = 100_000
 
@@ -151,35 +147,12 @@ class Encoder:
         self.machine = Transducer(ranks)
         self.split = regex.compile(pattern).findall
         self.kept: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
-        self.by_word = pattern == SPLIT
 
     def encode(self, text: str | None) -> list[int]:
-        """Ids of ``text``; an empty list for null and for the empty text.
-
-        With the usual pattern no piece crosses a single blank between two other characters, except that the blank begins
-        the next piece; so blank-parted words are looked up whole first.
-        """
-        if not text:
-            return []
-        if not self.by_word:
-            return self._pieces(text)
-        first, *rest = _APART(text)
-        out = self._pieces(first)
-        words = self.words
-        for word in rest:
-            ids = words.get(word)
-            if ids is None:
-                ids = self._pieces(" " + word)
-                if len(word) <= 64:
-                    if len(words) >= KEPT_PIECES:
-                        words.clear()
-                    words[word] = ids
-            out.extend(ids)
-        return out
-
-    def _pieces(self, text: str) -> list[int]:
+        """Ids of ``text``; an empty list for null and for the empty text."""
         out: list[int] = []
+        if not text:
+            return out
         kept = self.kept
         for piece in self.split(text):
             ids = kept.get(piece)
