@@ -55,8 +55,9 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
-    out = profile_columns(table(spark, folder, "raw_awards"), ["award_date", "reference_id"])
-    return out.withColumn("least", F.substring("least", 1, 10)).withColumn("greatest", F.substring("greatest", 1, 10))
+    out = profile_columns(table(spark, folder, "raw_awards"), ["contract_amount", "award_date", "reference_id"])
+    shown = lambda c: F.when(F.col("column_name") == "contract_amount", F.format_string("%.2f", F.col(c).try_cast("double"))).otherwise(F.substring(c, 1, 10))
+    return out.withColumn("least", shown("least")).withColumn("greatest", shown("greatest"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_by_agency": p1_by_agency, "p1_by_supplier": p1_by_supplier, "p4_found": p4_found, "p5_found": p5_found, "p5_profile": p5_profile}
@@ -70,6 +71,8 @@ def _totals_sql(key: str, other: str) -> str:
 _PROFILE = """SELECT '{c}' AS column_name, (SELECT count(*) FROM raw_awards) AS rows, (SELECT count(*) FROM raw_awards) - count(v) AS missing,
     count(DISTINCT v) AS distinct_values, {lo} AS least, {hi} AS greatest FROM (SELECT {v} AS v FROM raw_awards)"""
 
+_SHOWN = "CASE WHEN isnan({0}) THEN 'NaN' ELSE printf('%.2f', {0}) END"
+
 ORACLES = {
     "p1_found": """SELECT 'agency_id' AS key_name, agency_id AS key_value FROM core_awards WHERE agency_id IS NOT NULL GROUP BY agency_id
         HAVING count(*) > 0.01 * (SELECT count(*) FROM core_awards)
@@ -77,7 +80,9 @@ ORACLES = {
         HAVING count(*) > 0.01 * (SELECT count(*) FROM core_awards)""",
     "p1_by_agency": _totals_sql("agency_id", "supplier_id"),
     "p1_by_supplier": _totals_sql("supplier_id", "agency_id"),
-    "p5_profile": _PROFILE.format(c="award_date", v="award_date", lo="strftime(min(v), '%Y-%m-%d')", hi="strftime(max(v), '%Y-%m-%d')")
+    "p5_profile": _PROFILE.format(c="contract_amount", v="contract_amount", lo=_SHOWN.format("min(v)"), hi=_SHOWN.format("max(v)"))
+    + " UNION ALL "
+    + _PROFILE.format(c="award_date", v="award_date", lo="strftime(min(v), '%Y-%m-%d')", hi="strftime(max(v), '%Y-%m-%d')")
     + " UNION ALL "
     + _PROFILE.format(c="reference_id", v="CASE WHEN trim(reference_id) <> '' THEN reference_id END", lo="substr(min(v), 1, 10)", hi="substr(max(v), 1, 10)"),
 }
