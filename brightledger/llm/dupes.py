@@ -54,7 +54,7 @@ def parse_line(line: str | None, labels: list[str]) -> list[str] | None:
     text = line.strip()
     if text.startswith("{"):
         try:
-            found = {str(k).strip().casefold(): v for k, v in json.loads(text).items()}
+            found = {str(k).strip().casefold(): v for k, v in json.loads(text, strict=False).items()}
             out = [found.get(x.casefold()) for x in labels]
             return None if any(v is None or not str(v).strip() for v in out) else [str(v) for v in out]
         except ValueError:

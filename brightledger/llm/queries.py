@@ -47,4 +47,23 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
-ORACLES: dict[str, str] = {}
+
+def _part(label: str) -> str:
+    """SQL of the value of ``label`` in a line of text; quotes and signs around it do not matter to the comparison."""
+    others = "|".join(x for x in ("award_title", "awardee_name", "contract_amount") if x != label)
+    plain = rf"""regexp_extract(line_text, '(?is){label}["'']?\s*[:=]\s*(.*?)\s*(?:[;|,\t]\s*["'']?(?:{others})["'']?\s*[:=]|$)', 1)"""
+    clean = "regexp_replace(line_text, '[[:cntrl:]]', ' ', 'g')"
+    return f"CASE WHEN json_valid({clean}) THEN json_extract_string({clean}, '$.{label}') ELSE {plain} END"
+
+
+def _canon(c: str) -> str:
+    return rf"regexp_replace(lower(nfc_normalize({c})), '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g')"
+
+
+ORACLES: dict[str, str] = {
+    "p3_found": rf"""WITH r AS (SELECT 'raw' AS src, id AS k, award_title AS t, awardee_name AS n, contract_amount AS a FROM raw_awards
+        UNION ALL SELECT 'line', line_id, {_part("award_title")}, {_part("awardee_name")}, TRY_CAST(regexp_replace({_part("contract_amount")}, '[^0-9.eE+-]', '', 'g') AS DOUBLE) FROM award_lines),
+        g AS (SELECT *, min(k) OVER (PARTITION BY src, {_canon("t")}, {_canon("n")}, a) AS keep FROM r
+            WHERE a IS NOT NULL AND regexp_matches(t, '\S') AND regexp_matches(n, '\S'))
+        SELECT keep AS keep_id, k AS copy_id FROM g WHERE k <> keep""",
+}
