@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brightledger.functions.text import plain
-from brightledger.session import free_name, written
+from brightledger.session import free_name, spread, written
 
 #: Candidate signs: name -> pattern.
 CANDIDATES = {
@@ -164,7 +164,7 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
                 names=out.names,
             )
 
-    counts = written(src.mapInArrow(run, out).groupBy("source", "sign", "pieces").agg(F.sum("n").alias("n"), F.sum("regular").alias("regular")), "signs")
+    counts = written(spread(src).mapInArrow(run, out).groupBy("source", "sign", "pieces").agg(F.sum("n").alias("n"), F.sum("regular").alias("regular")), "signs")
     # Regularity of the pieces, lowered where it differs between records of other piece counts.
     each = counts.groupBy("source", "sign").agg(
         F.sum("n").alias("n"), (F.sum("regular") / (2 * F.sum("n"))).alias("regular"),
@@ -196,7 +196,7 @@ def unpack(df: DataFrame, column: str, listed: list[str] | None = None, source:
         names.append(free_name([*taken, *names], wanted))
     s, k = free_name([*taken, *names], "_signs"), free_name([*taken, *names], "_source")
     key = (F.col(source) if source else F.lit(None)).cast("string")
-    joined = df.withColumn(k, F.coalesce(F.concat(F.lit("="), key), F.lit("null")))
+    joined = spread(df).withColumn(k, F.coalesce(F.concat(F.lit("="), key), F.lit("null")))
     signs = signs.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias(k), F.col("signs").alias(s))
     joined = joined.join(signs, k, "left").drop(k)
     schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.IntegerType(), False), T.StructField(names[1], T.StringType(), False), T.StructField(names[2], T.IntegerType(), False)])

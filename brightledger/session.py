@@ -60,3 +60,26 @@ def free_name(taken: list[str], wanted: str) -> str:
     while wanted.lower() in low:
         wanted = "_" + wanted
     return wanted
+
+
+def spread(df: DataFrame, most: int = 512 << 20) -> DataFrame:
+    """``df`` over all cores, if it is small (``most`` bytes by Spark's estimate) and in fewer files than there are cores.
+
+    Work per row that is heavy then does not wait for one task that reads one file. Larger inputs stay as they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        files = len(df.inputFiles())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  no estimate to be had: leave it
+        return df
+    return df.repartition(cores) if 0 < files < cores and size <= most else df
+
+
+def fanned(df: DataFrame) -> DataFrame:
+    """``df``, a result of few bytes but heavy work per row, in as many parts as a shuffle has or there are cores.
+
+    Adaptive execution sizes parts by bytes and would leave such work to one task.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
