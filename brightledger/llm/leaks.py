@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from brightledger.session import free_name
+from brightledger.session import free_name, spread
 
 #: Words of a seed.
 SEED = 4
@@ -184,7 +184,7 @@ def find_leaks(
     distinct is shuffled.
     """
     spark = docs.sparkSession
-    d = docs.select(F.col(doc_key), F.col(doc_text).alias(free_name([doc_key], "text")))
+    d = spread(docs.select(F.col(doc_key), F.col(doc_text).alias(free_name([doc_key], "text"))))
     kind = items.schema[item_key].dataType
     item_type = to_arrow_type(kind)
     item_out = free_name([doc_key], item_key)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brightledger.functions.text import plain
-from brightledger.session import written
+from brightledger.session import fanned, written
 
 # Legal forms, which do not tell names apart.
 LEGAL = frozenset("limited ltd corporation corp company co incorporated inc opc llc plc gmbh".split())
@@ -261,7 +261,7 @@ def read_names(names: DataFrame) -> DataFrame:
             kinds = [pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.string(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["field", "name", "kind", "words", "given", "middle", "key", "points"])
 
-    return names.select("field", "name").mapInArrow(run, schema)
+    return fanned(names.select("field", "name")).mapInArrow(run, schema)
 
 
 def choose_pivots(points: DataFrame, n: int, sample: int = 96) -> list[str]:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from brightledger.session import spread
+
 # Abbreviations (casefolded, without the last stop) after which a sentence goes on whatever follows.
 GOES_ON = frozenset(
     """dr mr mrs ms messrs atty engr ing prof sr sra srta dra dña hr fr gng bb g inh gov hon gen col capt rev
@@ -434,4 +436,4 @@ def split_sentences(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
                     end.append(b)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(begin, pa.int32()), pa.array(end, pa.int32())], names=[batch.schema.names[0], "begin_pos", "end_pos"])
 
-    return src.mapInArrow(run, schema)
+    return spread(src).mapInArrow(run, schema)

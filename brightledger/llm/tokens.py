@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from brightledger.session import free_name
+from brightledger.session import free_name, spread
 
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -244,7 +244,7 @@ def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", ranks_path
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 def decode_ids(df: DataFrame, ids: str = "ids", out: str = "text", ranks_path: str = DEFAULT_RANKS) -> DataFrame:
