@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,7 +20,9 @@ def shared_folder(spark: SparkSession) -> str:
     """
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
-        known = "file://" + tempfile.mkdtemp(prefix="brightledger-")
+        own = tempfile.mkdtemp(prefix="brightledger-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        known = "file://" + own
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")
 
