@@ -244,12 +244,12 @@ def _hashed(keys: pa.Array, canon: list[str], src: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([src] * len(canon), pa.string()), keys, pa.array(canon, pa.string()), pa.array(h)], names=["src", "key", "canon", "h"])
 
 
-def find_copies(records: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def find_copies(records: DataFrame, filter_bytes: int = FILTER_BYTES, rows: int | None = None) -> DataFrame:
     """(keep_id, copy_id) for each record (src, key, canon, h) that is a copy of the smallest key of its group.
 
-    Keys are compared as text. A key that occurs on several rows of one group is one record. An empty table has no copies.
+    ``rows`` sizes the filters (an upper bound of the records, counted if not given). Keys are compared as text. A key that occurs on several rows of one group is one record. An empty table has no copies.
     """
-    groups, members = collapse(records, "key", filter_bytes=filter_bytes)
+    groups, members = collapse(records, "key", rows, filter_bytes)
     pairs = link_copies(groups, members, "key").filter(F.col("key") != F.col("keep"))
     return pairs.select(F.col("keep").alias("keep_id"), F.col("key").alias("copy_id")).distinct()
 
@@ -262,7 +262,7 @@ def collapse_records(df: DataFrame, key: str, fields: list[str], amount: str, ou
     ``out`` makes the new column get underscores. Repeated, tied and empty inputs are fine.
     """
     out = free_name(df.columns, out)
-    groups, members = collapse(keyed(df, key, fields, amount), "key")
+    groups, members = collapse(keyed(df, key, fields, amount), "key", df.count())
     linked = written(link_copies(groups, members, "key"), "linked")
     kept = linked.filter(F.col("key") == F.col("keep")).select(F.col("key").alias("_k"), F.col("copies").alias("_n")).distinct()
     gone = linked.filter(F.col("key") != F.col("keep")).select(F.col("key").alias("_k"), F.lit(-1).cast("long").alias("_n")).distinct()

@@ -25,9 +25,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     fields = ["award_title", "awardee_name"]
-    raw = keyed(table(spark, folder, "raw_awards"), "id", fields, "contract_amount", "raw_awards")
-    lines = keyed_lines(table(spark, folder, "award_lines"), "line_id", "line_text", fields, "contract_amount", "award_lines")
-    return find_copies(raw.unionByName(lines))
+    awards, lines = table(spark, folder, "raw_awards"), table(spark, folder, "award_lines")
+    rows = awards.count() + lines.count()
+    records = keyed(awards, "id", fields, "contract_amount", "raw_awards").unionByName(keyed_lines(lines, "line_id", "line_text", fields, "contract_amount", "award_lines"))
+    return find_copies(records, rows=rows)
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
