@@ -133,31 +133,43 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
     out = T.StructType([T.StructField("source", T.StringType()), T.StructField("sign", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("regular", T.LongType())])
     held = held_names(listed)
 
+    def observed(v: str) -> list[tuple[str, int, int, int]]:
+        """(sign, pieces, observations, regular sides) of one field."""
+        masked = _mask(v, held)
+        numbers = [m.span() for m in _NUMBER.finditer(masked)]
+        base = numbers + [m.span() for k in _BASE for m in _PATTERN[k].finditer(masked)]
+        out = []
+        for k, pattern in _PATTERN.items():
+            here = [m.span() for m in pattern.finditer(masked)]
+            if not here:
+                continue
+            cuts = sorted({*base, *here})
+            edge = [0, *(b for _, b in cuts)], [*(a for a, _ in cuts), len(v)]
+            good = [type_key(v[a:b]) in types for a, b in zip(*edge)]
+            full = [bool(v[a:b].strip()) for a, b in zip(*edge)]
+            at = {c: i for i, c in enumerate(cuts)}
+            places = [i for i in (at[c] for c in here) if full[i] and full[i + 1]]
+            if places:
+                out.append((k, len(here) + 1, len(places), sum(good[i] + good[i + 1] for i in places)))
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, list[tuple[str, int, int, int]]] = {}
         for batch in batches:
             n, regular = Counter(), Counter()
             for s, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if v is None or not v.strip():
                     continue
-                masked = _mask(v, held)
-                numbers = [m.span() for m in _NUMBER.finditer(masked)]
-                base = numbers + [m.span() for k in _BASE for m in _PATTERN[k].finditer(masked)]
-                for k, pattern in _PATTERN.items():
-                    here = [m.span() for m in pattern.finditer(masked)]
-                    if not here:
-                        continue
-                    cuts = sorted({*base, *here})
-                    edge = [0, *(b for _, b in cuts)], [*(a for a, _ in cuts), len(v)]
-                    good = [type_key(v[a:b]) in types for a, b in zip(*edge)]
-                    full = [bool(v[a:b].strip()) for a, b in zip(*edge)]
-                    at = {c: i for i, c in enumerate(cuts)}
-                    for c in here:
-                        i = at[c]
-                        if not (full[i] and full[i + 1]):
-                            continue
-                        key = (s, k, len(here) + 1)
-                        n[key] += 1
-                        regular[key] += good[i] + good[i + 1]
+                got = seen.get(v)
+                if got is None:
+                    got = observed(v)
+                    if len(v) <= 1000:
+                        if len(seen) > 50_000:
+                            seen.clear()
+                        seen[v] = got
+                for k, pieces, m, r in got:
+                    n[s, k, pieces] += m
+                    regular[s, k, pieces] += r
             keys = list(n)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.int32()), pa.array([n[k] for k in keys], pa.int64()), pa.array([regular[k] for k in keys], pa.int64())],
