@@ -15,6 +15,7 @@ shorter text, and a row of tokens is an encoding if each two neighbours are (Ber
 from __future__ import annotations
 
 import base64
+import gc
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -41,6 +42,9 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
 
 
+_NEVER = 1 << 62
+
+
 class Transducer:
     """Byte-pair encoder; see the module's text."""
 
@@ -50,6 +54,7 @@ class Transducer:
         self.token = {i: t for t, i in ranks.items()}
         self._fits: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
+        self._made: dict[int, tuple[int, int]] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -60,56 +65,98 @@ class Transducer:
         self.states = [start]
         self.step: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
 
-    def merge(self, data: bytes) -> list[int]:
-        """Encoding by the definition: join the pair of lowest rank until none joins. For short inputs."""
+    def merge(self, data: bytes, below: int = 1 << 62) -> list[int]:
+        """Encoding by the definition: join the pair of lowest rank until none (of a rank under ``below``) joins. For short inputs."""
+        get = self.ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
+        pairs = [get(x + y, _NEVER) for x, y in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) < below:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = get(parts[at - 1] + parts[at], _NEVER)
+            if at < len(pairs):
+                pairs[at] = get(parts[at] + parts[at + 1], _NEVER)
+        return [self.ranks[p] for p in parts]
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether ``right`` may follow ``left`` in an encoding (-1: the start)."""
+        """Whether ``right`` may follow ``left`` in an encoding (-1: the start).
+
+        Two tokens stay apart if no join across their border comes before the joins that made them. The joins of either are undone,
+        the latest first, and the border is tried between what is left.
+        """
         known = self._fits.get((left, right))
         if known is None:
-            if left < 0:
-                known = self._whole.get(right)
-                if known is None:
-                    known = self._whole[right] = self.merge(self.token[right]) == [right]
-            else:
-                known = self.fits(-1, right) and self.merge(self.token[left] + self.token[right]) == [left, right]
-            self._fits[left, right] = known
+            known = self._fits[left, right] = self._apart(left, right)
         return known
 
+    def _parts(self, t: int) -> tuple[int, int]:
+        """The two tokens whose join made ``t``; twice ``t`` for a single byte."""
+        got = self._made.get(t)
+        if got is None:
+            parts = self.merge(self.token[t], t)
+            got = self._made[t] = (parts[0], parts[1]) if len(parts) == 2 else (t, t)
+        return got
+
+    def _whole_token(self, t: int) -> bool:
+        got = self._whole.get(t)
+        if got is None:
+            got = self._whole[t] = self.merge(self.token[t]) == [t]
+        return got
+
+    def _apart(self, left: int, right: int) -> bool:
+        if not self._whole_token(right):
+            return False
+        if left < 0:
+            return True
+        get, token = self.ranks.get, self.token
+        most = _NEVER
+        while True:
+            both = get(token[left] + token[right])
+            if both is not None and both < most:
+                return False
+            if left > right:
+                most, left = left, self._parts(left)[1]
+                if left == most:
+                    most, right = right + 1, self._parts(right)[0]
+                    if right + 1 == most:
+                        return True
+            else:
+                most, right = right + 1, self._parts(right)[0]
+                if right + 1 == most:
+                    most, left = left, self._parts(left)[1]
+                    if left == most:
+                        return True
+
     def _follow(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         settled, places = self.states[state]
         b = bytes([byte])
-        now, end = [], None
+        now, chains, end = [], [], None
+        known, get, fits = self.open, self.ranks.get, self._fits
         for since, before in places:  # the longest open piece first
             piece = since + b
-            if piece in self.open:
-                now.append((piece, before))
-            if end is None and (t := self.ranks.get(piece)) is not None:
-                if self.fits(before[-1] if before else settled, t):
-                    end = before + (t,)
+            if piece in known:
+                now.append(piece)
+                chains.append(before)
+                if end is None and (t := get(piece)) is not None:
+                    left = before[-1] if before else settled
+                    ok = fits.get((left, t))
+                    if self.fits(left, t) if ok is None else ok:
+                        end = before + (t,)
         if end is None:
             raise ValueError("the vocabulary lacks a single byte")
-        now.append((b"", end))
-        common = 0
-        shortest = min(len(x) for _, x in now)
-        first = now[0][1]
-        while common < shortest and all(x[common] == first[common] for _, x in now):
+        now.append(b"")
+        chains.append(end)
+        common, size = 0, len(chains)
+        for x in zip(*chains):
+            if x.count(x[0]) != size:
+                break
             common += 1
-        out = first[:common]
-        key = (out[-1] if out else settled, tuple((p, x[common:]) for p, x in now))
-        n = self._place(key)
+        out = end[:common]
+        if common:
+            chains = [x[common:] for x in chains]
+        n = self._place((out[-1] if common else settled, tuple(zip(now, chains))))
         self.step[state][byte] = (n, out)
         return n, out
 
@@ -236,13 +283,19 @@ def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", ranks_path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(read_ranks(data.value), pattern)
-        for batch in batches:
-            ids, ends = array("i"), array("i", [0])
-            for t in batch.column(at).to_pylist():
-                ids.extend(encoder.encode(t))
-                ends.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
+        collects = gc.isenabled()
+        gc.disable()  # hundreds of thousands of states, none in a cycle, would be looked at again and again
+        try:
+            for batch in batches:
+                ids, ends = array("i"), array("i", [0])
+                for t in batch.column(at).to_pylist():
+                    ids.extend(encoder.encode(t))
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
+        finally:
+            if collects:
+                gc.enable()
 
     return spread(df).mapInArrow(run, schema)
 
