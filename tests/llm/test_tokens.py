@@ -38,6 +38,16 @@ def test_random_bytes_piece(encoder):
         assert machine.encode(data) == machine.merge(data)
 
 
+def test_pairs_against_the_definition(encoder):
+    rnd = random.Random(6)
+    machine = encoder.machine
+    tokens_ = [t for t in RANKS.values() if len(machine.token[t]) < 10]
+    for _ in range(4000):
+        a, b = rnd.choice(tokens_), rnd.choice(tokens_)
+        if machine.fits(-1, a):
+            assert machine.fits(a, b) == (machine.merge(machine.token[a] + machine.token[b]) == [a, b])
+
+
 def test_small_state_store_gives_the_same(encoder, monkeypatch):
     want = [encoder.encode(t) for t in texts()[:300]]
     monkeypatch.setattr(tokens, "KEPT_STATES", 40)
