@@ -7,6 +7,7 @@ distinct candidates and their forms. Only files whose footers and dictionaries c
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -150,28 +151,71 @@ def _files_with(foot: DataFrame, column: str, cleared: Column) -> DataFrame:
     return foot.filter((F.col("column_name") == column) & ~F.coalesce(cleared, F.lit(False))).select("path").distinct()
 
 
+#: Sizes of the random samples whose expected distinct values are compared between loads.
+SAMPLES = (16, 64, 256, 1024)
+
+
+def expected_distinct(counts: list[tuple[int, int]], m: int) -> float | None:
+    """Expected share of distinct values among ``m`` rows drawn without return; ``counts`` has (rows of a value, number of such values). None for fewer rows than ``m``.
+
+    Unlike the share of distinct values of all rows it does not depend on how many rows there are.
+    """
+    n = sum(c * f for c, f in counts)
+    if n < m:
+        return None
+    whole = math.lgamma(n + 1) - math.lgamma(n - m + 1)
+    missed = lambda c: math.exp(math.lgamma(n - c + 1) - math.lgamma(n - c - m + 1) - whole) if n - c >= m else 0.0
+    return sum(f * (1 - missed(c)) for c, f in counts) / m
+
+
+def _spread_of(values: DataFrame) -> DataFrame:
+    """(load, k, top, distinct) of the rows (load, k, v): rows of the most frequent v, and the expected distinct shares for ``SAMPLES``. Counts are exact (of 64-bit hashes)."""
+    counts = values.groupBy("load", "k", "v").agg(F.count(F.lit(1)).alias("c")).groupBy("load", "k", "c").agg(F.count(F.lit(1)).alias("f"))
+    # As many pairs at most as different counts add up to the load's rows: about the root of twice those.
+    grouped = counts.groupBy("load", "k").agg(F.collect_list(F.struct("c", "f")).alias("counts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spectra = [[(x["c"], x["f"]) for x in r] for r in batch.column(2).to_pylist()]
+            top = pa.array([max(c for c, _ in r) for r in spectra], pa.int64())
+            distinct = pa.array([[expected_distinct(r, m) for m in SAMPLES] for r in spectra], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), top, distinct], names=["load", "k", "top", "distinct"])
+
+    return grouped.mapInArrow(run, "load string, k string, top long, distinct array<double>")
+
+
 def load_statistics(df: DataFrame, load: str, day: str, amount: str, date: str, code: str) -> DataFrame:
-    """Per load: rows, missing shares, quartiles and the share of the most frequent value of an amount (by its logarithm), a date (as days before the load's day) and a code (with the share of its most frequent form)."""
+    """Per load: rows, missing shares, and of an amount (a), a date (d) and a code (c) the rows of the most frequent value and the expected distinct shares of ``SAMPLES``.
+
+    Quartiles are of the amount's logarithm and of the date as days before the load's day; a code has none, but the rows of its most frequent form.
+    """
     a, d, c = F.col(amount), F.to_date(date), F.col(code)
     lag = F.datediff(F.to_date(day), d)
     log = F.when(~F.isnan(a) & (a > 0), F.log(a))
     blank = c.isNull() | (F.length(F.trim(c)) == 0)
     kept = df.select(F.col(load).cast("string").alias("load"), a.alias("a"), log.alias("log"), d.alias("d"), lag.alias("lag"), F.when(~blank, c).alias("c"))
     quart = lambda x: F.percentile_approx(x, [0.25, 0.5, 0.75], 2000)
-    top = lambda x: F.expr(f"approx_top_k({x}, 1, 2048)[0].count")
-    return kept.groupBy("load").agg(
+    base = kept.groupBy("load").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("a").isNull()).alias("a_missing"), F.count_if(F.col("d").isNull()).alias("d_missing"), F.count_if(F.col("c").isNull()).alias("c_missing"),
         quart("log").alias("a_q"), quart(F.log1p(F.greatest(F.col("lag"), F.lit(0)).cast("double"))).alias("d_q"),
-        top("a").alias("a_top"), top("cast(d as string)").alias("d_top"), top("c").alias("c_top"),
     )
+    seen = lambda k, v, x: F.struct(F.lit(k).alias("k"), F.when(x.isNotNull(), F.xxhash64(v)).alias("v"))
+    c = F.col("c")
+    values = kept.select("load", F.inline(F.array(seen("a", F.col("a"), F.col("a")), seen("d", F.col("d"), F.col("d")), seen("c", c, c), seen("form", shape(c), c)))).filter(F.col("v").isNotNull())
+    part = lambda k, x: F.max(F.when(F.col("k") == k, F.col(x)))
+    spread = _spread_of(values).groupBy(F.col("load").alias("of")).agg(
+        *[part(k, "top").alias(f"{k}_top") for k in "adc"], part("form", "top").alias("c_form"), *[part(k, "distinct").alias(f"{k}_distinct") for k in "adc"],
+    )
+    return base.join(spread, F.col("load").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def drifted(stats: list[dict], key: str, shift: float) -> list[str]:
     """Loads whose missing share or spread in column ``key`` (prefix of the statistics) departs from most loads'.
 
-    A missing share departs by 0.1 and by 6 median deviations and 5 standard errors; the share of the most frequent value by 0.15
-    likewise; a quartile (where there are some) by ``shift`` and 8 median deviations.
+    A missing share departs by 0.1 and by 6 median deviations and 5 standard errors; the share of the most frequent value or form by 0.15
+    likewise; the expected distinct share of a sample by 0.15 of most loads' likewise (rows that pile up on a few values lower it, rows
+    more widely spread raise it); a quartile (where there are some) by ``shift`` and 8 median deviations.
     """
     def median(x: list[float]) -> float:
         y = sorted(x)
@@ -191,9 +235,14 @@ def drifted(stats: list[dict], key: str, shift: float) -> list[str]:
     base = median(list(miss.values()))
     flag(miss, 0.1, 6, {k: 5 * (max(base, 0.01) * (1 - base) / n) ** 0.5 for k, n in size.items()})
     full = {s["load"]: size[s["load"]] - s[f"{key}_missing"] for s in stats}
-    top = {s["load"]: (s[f"{key}_top"] or 0) / full[s["load"]] for s in stats if full[s["load"]] > 0}
-    usual = median(list(top.values()))
-    flag(top, 0.15, 6, {k: 5 * (max(usual, 0.02) * (1 - usual) / max(1, full[k])) ** 0.5 for k in top})
+    for share in ("top", "form"):
+        top = {s["load"]: (s[f"{key}_{share}"] or 0) / full[s["load"]] for s in stats if full[s["load"]] > 0 and f"{key}_{share}" in s}
+        usual = median(list(top.values()))
+        flag(top, 0.15, 6, {k: 5 * (max(usual, 0.02) * max(1 - usual, 0.02) / max(1, full[k])) ** 0.5 for k in top})
+    for i in range(len(SAMPLES)):
+        distinct = {s["load"]: s[f"{key}_distinct"][i] for s in stats if s.get(f"{key}_distinct") and s[f"{key}_distinct"][i] is not None}
+        usual = median(list(distinct.values()))
+        flag(distinct, 0.15 * usual, 6, {k: 5 * (max(usual, 0.02) * max(1 - usual, 0.02) / max(1, full[k])) ** 0.5 for k in distinct})
     for i in range(3):
         q = {s["load"]: s[f"{key}_q"][i] for s in stats if s.get(f"{key}_q")}
         flag(q, shift, 8, {k: 8 / max(1, full[k]) ** 0.5 for k in q})

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 from brightledger.operators import profile
 
@@ -53,6 +54,49 @@ def test_drift(spark, tmp_path):
     assert {x for x in issues(write(spark, tmp_path, d)) if x[1] == "drift"} == {("contract_amount", "drift", "1"), ("award_date", "drift", "2"), ("award_date", "drift", "3"), ("reference_id", "drift", "4")}
 
 
+def drifts(df):
+    return {x for x in issues(df) if x[1] == "drift"}
+
+
+def test_drift_of_rows_piled_on_a_few_values(spark, tmp_path):
+    # No value alone holds much: four codes, four amounts and four days share half a load's rows.
+    d = rows(8, 200)
+    for r in d:
+        i = int(r[0].split("-")[1])
+        if i % 2:
+            if r[1] == 1:
+                r[5] = f"9000000{i // 2 % 4}"
+            if r[1] == 2:
+                r[3] = 1000.0 * (101 + 100 * (i // 2 % 4))
+            if r[1] == 3:
+                r[4] = r[2] - dt.timedelta(days=9 + 14 * (i // 2 % 4))
+    assert drifts(write(spark, tmp_path, d)) == {("reference_id", "drift", "1"), ("contract_amount", "drift", "2"), ("award_date", "drift", "3")}
+
+
+def test_drift_of_forms(spark, tmp_path):
+    d = rows(8, 200)
+    for r in d:
+        if r[1] == 5 and int(r[0].split("-")[1]) % 3 == 0:
+            r[5] = "A-" + r[5]
+    assert drifts(write(spark, tmp_path, d)) == {("reference_id", "drift", "5")}
+
+
+def test_small_load_is_no_drift(spark, tmp_path):
+    # A value repeats less in fewer rows; that is no departure.
+    d = [r for r in rows(8, 400) if r[1] != 4 or int(r[0].split("-")[1]) < 70]
+    for r in d:
+        r[5] = f"{10000000 + int(r[0].split('-')[1]) % 100}"
+    assert drifts(write(spark, tmp_path, d)) == set()
+
+
+def test_expected_distinct_against_brute_force():
+    rows_ = [0, 0, 0, 1, 1, 2, 3]
+    for m in (1, 2, 3, 7):
+        drawn = list(itertools.combinations(rows_, m))
+        assert abs(profile.expected_distinct([(3, 1), (2, 1), (1, 2)], m) - sum(len(set(x)) for x in drawn) / len(drawn) / m) < 1e-9
+    assert profile.expected_distinct([(3, 1)], 4) is None
+
+
 def test_empty_and_null(spark, tmp_path):
     assert issues(write(spark, tmp_path, [])) == set()
     assert issues(write(spark, tmp_path, [["a", None, None, None, None, None, None]], "n")) == set()
