@@ -5,12 +5,13 @@ a core (what sets it apart). Names of one kind form a metric space under the edi
 partitioned by pivots: a core goes to the cells of its distances from a few pivots, and those near a cell's edge also to the
 next cell, as far as the triangle inequality lets a partner within the radius lie there. Each cell is joined exactly; further
 pivots discard pairs before the distance itself is computed. Links then need evidence that one side is a misspelling
-and not another name: its differing word is not used by other names.
+and not another name: its differing word is not used by other names. All links that have it hold together, except where they would join keys that exclude each other.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -368,6 +369,69 @@ def evidence(wa: list[str], wb: list[str], ua: list[int], ub: list[int], pa_: tu
     return len(ja) >= 8 and distance <= 2 and once <= 1
 
 
+def excluded(a: dict, b: dict) -> bool:
+    """Whether two keys of one kind (words, used, given, middle) cannot name the same: persons of other names, other numbers, or differing words that names use too much to be misspellings of one another."""
+    pa_, pb = (a["given"], a["middle"]), (b["given"], b["middle"])
+    if pa_[0] or pb[0]:
+        if not _compatible(pa_, pb):
+            return True
+        if pa_ == pb and len(pa_[0]) > 1:
+            return False
+    used = dict(zip(a["words"], a["used"])), dict(zip(b["words"], b["used"]))
+    rest_a, rest_b = list(a["words"]), list(b["words"])
+    for w in a["words"]:
+        if w in rest_b:
+            rest_a.remove(w)
+            rest_b.remove(w)
+    if sorted(w for w in rest_a if w.isdigit()) != sorted(w for w in rest_b if w.isdigit()):
+        return "".join(a["words"]) != "".join(b["words"])
+    if len(rest_a) != len(rest_b) or sorted("".join(rest_a)) == sorted("".join(rest_b)):
+        return False
+    while rest_a:  # each word beside the one most like it
+        x, y = min(((x, y) for x in rest_a for y in rest_b), key=lambda p: (edit(*p, 99), p))
+        rest_a.remove(x)
+        rest_b.remove(y)
+        few, many = sorted((used[0][x], used[1][y]))
+        if few > max(1, SLIP_SHARE * many):  # a lesser share leaves a chain of links its say
+            return True
+    return False
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(id, component) of each key in ``links`` (id, to): the least key that links lead to from it."""
+    both = written(links.unionByName(links.select(F.col("to").alias("id"), F.col("id").alias("to"))), "links")
+    at = written(both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("component")), "components")
+    while True:
+        near = both.join(at.select(F.col("id").alias("to"), F.col("component").alias("c")), "to").groupBy("id").agg(F.min("c").alias("c"))
+        lower = at.join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "c").alias("component"))
+        # The least key reached has been further itself: the way left halves each time.
+        further = at.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        moved = written(lower.join(further, "component", "left").select("id", "was", F.least("component", "next").alias("component")), "components")
+        at = moved.select("id", "component")
+        if not moved.filter(F.col("was") != F.col("component")).limit(1).count():
+            return at
+
+
+def divided(links: list[dict]) -> list[tuple[str, str]]:
+    """(key, entity) of the keys of one component's ``links`` (id, to, distance, a, b).
+
+    All links hold unless they would bring together keys that exclude each other; then those of the strongest key (by fullness,
+    spellings, links) hold. The entity is the least key.
+    """
+    keys = {x["id"]: x["a"] for x in links} | {x["to"]: x["b"] for x in links}
+    degree = Counter(k for x in links for k in (x["id"], x["to"]))
+    strength = lambda k: (keys[k]["full"], keys[k]["n"], degree[k], k)
+    group = {k: [k] for k in keys}
+    for x in sorted(links, key=lambda x: (x["distance"] > 0, *[[-v for v in strength(k)[:3]] + [k] for k in sorted((x["id"], x["to"]), key=strength, reverse=True)])):
+        one, other = group[x["id"]], group[x["to"]]
+        if one is other or any(excluded(keys[j], keys[k]) for j in one for k in other):
+            continue
+        one.extend(other)
+        for k in other:
+            group[k] = one
+    return [(k, min(g)) for k, g in group.items()]
+
+
 def link_names(names: DataFrame) -> DataFrame:
     """(field, name, entity) for each row (field, name) of ``names`` that has words; names of one field and entity are spellings of one another.
 
@@ -398,26 +462,23 @@ def link_names(names: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     good = pairs.select("id_a", "id_b", "distance", "a", "b").mapInArrow(judge, pairs.select("id_a", "id_b", "distance", "a", "b").schema)
-    both = good.select(F.col("id_a").alias("id"), "a", F.col("id_b").alias("to"), "b").unionByName(good.select(F.col("id_b").alias("id"), F.col("b").alias("a"), F.col("id_a").alias("to"), F.col("a").alias("b")))
-    # Each key follows the strongest partner that is stronger than itself.
+    both = good.select(F.col("id_a").alias("id"), "a", F.col("id_b").alias("to"), "b", "distance").unionByName(good.select(F.col("id_b").alias("id"), F.col("b").alias("a"), F.col("id_a").alias("to"), F.col("a").alias("b"), "distance"))
+    # Seen from the weaker key of each link.
     rank = lambda s, i: F.struct(F.col(f"{s}.full").alias("full"), F.col(f"{s}.n").alias("n"), F.col(i).alias("id"))
-    up = both.withColumn("mine", rank("a", "id")).withColumn("theirs", rank("b", "to")).filter(F.col("theirs") > F.col("mine"))
-    person = F.length("a.given") > 0
-    best = up.groupBy("id").agg(
-        F.max("theirs").alias("best"),
-        # Whether the partners leave open who is meant: several given names, or several middle initials.
-        F.max(person).alias("person"), F.size(F.collect_set(F.when(F.length("b.given") > 1, F.col("b.given")))).alias("givens"), F.size(F.collect_set(F.when(F.length("b.middle") > 0, F.col("b.middle")))).alias("middles"),
-    )
-    parent = best.filter(~F.col("person") | ((F.col("givens") <= 1) & (F.col("middles") <= 1))).select("id", F.col("best.id").alias("parent"))
-    parent = written(parent, "parents")
-    while True:  # pointer jumping: the depth halves each time
-        up2 = parent.select(F.col("id").alias("parent"), F.col("parent").alias("next"))
-        jumped = written(parent.join(up2, "parent", "left").select("id", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("moved")), "parents")
-        parent = jumped.select("id", "parent")
-        if not jumped.filter("moved").limit(1).count():
-            break
-    found = read.select("field", "name", "id").join(parent, "id", "left")
-    return found.select("field", "name", F.coalesce("parent", "id").alias("entity"))
+    up = written(both.filter(rank("b", "to") > rank("a", "id")), "links")
+    # Persons whose partners leave open who is meant: several given names, or several middle initials.
+    several = lambda c, least: F.size(F.collect_set(F.when(F.length(c) > least, F.col(c)))) > 1
+    unclear = up.groupBy("id").agg(F.max(F.length("a.given") > 0).alias("person"), several("b.given", 1).alias("givens"), several("b.middle", 0).alias("middles")).filter(F.col("person") & (F.col("givens") | F.col("middles")))
+    links = written(up.join(unclear.select("id"), "id", "left_anti"), "links")
+    whole = links.join(components(links.select("id", "to")), "id").groupBy("component").agg(F.collect_list(F.struct("id", "to", "distance", "a", "b")).alias("links"))
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [x for c in batch.column("links").to_pylist() for x in divided(c)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.string()) for i in (0, 1)], names=["id", "entity"])
+
+    found = read.select("field", "name", "id").join(whole.select("links").mapInArrow(part, "id string, entity string"), "id", "left")
+    return found.select("field", "name", F.coalesce("entity", "id").alias("entity"))
 
 
 def spelling_pairs(names: DataFrame) -> DataFrame:

@@ -47,6 +47,45 @@ def test_real_words_are_not_misspellings(spark):
     assert names.spelling_pairs(df).count() == 0
 
 
+STARS = [["TABODAKI BOBEDUKU", "TABODDAKI BOBEDUKU", "TABODAKI BOEBDUKU"], ["GIMOLATE RISOPADU", "GIMOLLATE RISOPADU", "GIMOLATE RISSOPADU", "GIMOLAET RISOPADU"]]
+
+
+def test_misspellings_of_one_name_meet_whichever_key_is_least(spark):
+    # All keys have one spelling, so their hashes order them; the kinds give each order its turn.
+    kinds = ["SECURITY AGENCY", "FUEL STATION", "AUTO PARTS", "LUMBER", "OFFICE SYSTEMS", "TEXTILE", "PRINTING PRESS", "HARDWARE"]
+    groups = [[f"{n} {k}" for n in g] for i, g in enumerate(STARS) for k in kinds[4 * i : 4 * i + 4]]
+    # The words of a star's kinds are told apart, so that each misspelling is used once.
+    groups = [[n.replace("O", "AEIU"[i % 4]).replace("U ", "O ") if i % 4 else n for n in g] for i, g in enumerate(groups)]
+    got = {(r.name_a, r.name_b) for r in names.spelling_pairs(spark.createDataFrame([("f", n) for g in groups for n in g], "field string, name string")).collect()}
+    assert got == {tuple(sorted(p)) for g in groups for p in itertools.combinations(g, 2)}
+
+
+def test_misspelling_between_two_real_names_does_not_join_them(spark):
+    kinds = ["TRADING", "FUEL STATION", "CONSTRUCTION", "OFFICE SYSTEMS"]
+    real = [f"{w} MIKABUMI {k}" for w in ("GIBELAMO", "GOBELAMU") for k in kinds]
+    df = spark.createDataFrame([("f", n) for n in [*real, "GOBELAMO MIKABUMI TRADING"]], "field string, name string")
+    got = {(r.name_a, r.name_b) for r in names.spelling_pairs(df).collect()}
+    assert len(got) == 1 and "GOBELAMO MIKABUMI TRADING" in next(iter(got))
+
+
+def test_persons_of_one_entity_do_not_exclude_each_other(spark):
+    # The initials fit the name without a middle initial, which is that of another person.
+    df = spark.createDataFrame([("f", n) for n in ("Roberto B. Gakakabimi", "Roberto Gakakabimi", "R. C. GAKAKABIMI")], "field string, name string")
+    got = {(r.name_a, r.name_b) for r in names.spelling_pairs(df).collect()}
+    assert got == {("Roberto B. Gakakabimi", "Roberto Gakakabimi")}
+
+
+def test_components_against_brute_force(spark):
+    rnd = random.Random(5)
+    links = [(f"{a:03d}", f"{b:03d}") for a, b in [(rnd.randrange(80), rnd.randrange(80)) for _ in range(50)] if a != b] + [(f"p{i:02d}", f"p{i + 1:02d}") for i in range(30)]
+    root = {k: k for x in links for k in x}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {r.id: r.component for r in names.components(spark.createDataFrame(links, "id string, to string")).collect()}
+    assert got == root
+
+
 def lev(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
