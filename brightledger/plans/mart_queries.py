@@ -166,7 +166,7 @@ def _directory(t: _Tables) -> DataFrame:
 
 
 def _resolved(t: _Tables) -> DataFrame:
-    return resolve.resolve(_keys(t.raw_awards), 3)
+    return resolve.resolve(resolve.fold_names(t.typed, "supplier_raw").select("key"), 3)
 
 
 def _yoy(t: _Tables) -> DataFrame:

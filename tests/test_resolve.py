@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from brightledger.functions.text import fold
 from brightledger.operators import resolve
+from brightledger.plans.mart_queries import QUERIES
 
 
 def apply(spark, f, values):
@@ -41,6 +43,16 @@ def test_fold_names(spark):
     assert got == {"CITY OF TALISAY": ("CITY OF TALISAY", 0, 0), "CITY OF ΤΑLISAY": ("CITY OF TALISAY", 2, 0), "会": ("", 0, 1)}
 
 
+def test_resolve_names_runs_on_folded_keys(spark, folder, tmp_path):
+    raw = ["BIG SОLES INC", "Big Soles, Incorporated", "PEÑA TRADING", "PENA TRADING CORP", "ＲＥＤ  SALES", "RED SALES", "会", None, "RED SALES"]  # a Cyrillic O, an accent, wide letters
+    like = spark.read.parquet(f"{folder}/raw_awards.parquet").schema
+    rows = [tuple(n if f.name == "awardee_name" else str(i) if f.name == "id" else None for f in like) for i, n in enumerate(raw)]
+    spark.createDataFrame(rows, like).write.parquet(str(tmp_path / "raw_awards.parquet"))
+    got = {r.key: r.match_key for r in QUERIES["resolve_names"](spark, str(tmp_path)).collect()}
+    assert set(got) == {fold(n)[0] for n in raw if n is not None}
+    assert got["BIG SOLES INC"] == got["BIG SOLES, INCORPORATED"] == "BIG SOLES" and got["PENA TRADING"] == got["PENA TRADING CORP"]
+
+
 def test_entities(spark):
     rows = [("CITY OF X", "CITY OF X", "ACME", "ACME", 10.0), ("CITY OF X", "City of X", "ACME INC - A", "ACME INC - A", 5.0), ("CITY OF X", "City of X", "ACME INC - A", "ACME INC - A", 5.0), ("CITY OF X", "CITY OF X", "ACME INC", "ACME INC", 1.0)]
     staged = spark.createDataFrame(rows, "agency_key string, agency_raw string, supplier_raw string, supplier_key string, contract_amount double").withColumn("award_date", F.lit("2024-01-01").cast("date"))
