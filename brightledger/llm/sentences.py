@@ -75,9 +75,6 @@ _THAI = re.compile(r"(?<=[ก-๎])[^\S\n]+(?=[ก-๎])")
 _QUOTE = re.compile("[" + re.escape("".join(OPEN) + "".join(OPEN.values()) + '"') + "]")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ]")
 
-#: Spans that hold more candidate ends than this have no probability in the model.
-WIDEST = 80
-
 
 def _last_word(text: str, lo: int, at: int) -> str:
     """The word (with inner stops) that ends at ``at``, casefolded."""
@@ -298,6 +295,37 @@ def _runs_on(text: str, a: int, b: int, a2: int, found: dict[int, tuple[int, flo
     return first in OPENERS and first not in HEADS and len(words) > 1 and not line.isupper() and line[-1] not in ":："
 
 
+def lattice(starts: list[int], ends: list[int], score: list[float], at_start: list, at_end: list) -> tuple[list[float], list[int]]:
+    """Best value of the spans up to each end, and the span that each best way ends with. Spans may be of any width.
+
+    A span gets the score of closing at its end, less 9 if quotes or brackets do not balance and less 0.5 under 3 characters. Its begin
+    matters only by these, so the best way to a begin is kept for each balance, and overall; the few begins close by are tried one by one.
+    """
+    n = len(ends)
+    best = [0.0] + [float("-inf")] * n
+    back = [0] * (n + 1)
+    at: dict = {}  # balance -> the best begin with it, of those far enough back
+    top, p = -1, 0
+    for j in range(1, n + 1):
+        e, here = ends[j - 1], at_end[j - 1]
+        while p < j and e - starts[p] >= 3:
+            k = at.get(at_start[p], -1)
+            if k < 0 or best[p] >= best[k]:
+                at[at_start[p]] = p
+            if top < 0 or best[p] >= best[top]:
+                top = p
+            p += 1
+        for i in sorted({*range(p, j), top, at.get(here, -1)} - {-1}, reverse=True):
+            value = best[i] + score[j - 1]
+            if here != at_start[i]:
+                value -= 9.0
+            if i >= p:
+                value -= 0.5
+            if value > best[j]:
+                best[j], back[j] = value, i
+    return best, back
+
+
 def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
     block = _Block(text, lo, hi, case)
     # Lines of the block.
@@ -372,20 +400,7 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
     state = _balance(text, lo, hi, sorted({*starts, *ends}))
     at_start, at_end = [state[p] for p in starts], [state[p] for p in ends]
     n = len(ends)
-    best = [0.0] + [float("-inf")] * n
-    back = [0] * (n + 1)
-    for j in range(1, n + 1):
-        e = ends[j - 1]
-        here = at_end[j - 1]
-        for i in range(j - 1, max(-1, j - 1 - WIDEST), -1):
-            s = starts[i]
-            value = best[i] + score[j - 1]
-            if here != at_start[i]:
-                value -= 9.0
-            if e - s < 3:
-                value -= 0.5
-            if value > best[j]:
-                best[j], back[j] = value, i
+    best, back = lattice(starts, ends, score, at_start, at_end)
     cut, j = [], n
     while j:
         i = back[j]

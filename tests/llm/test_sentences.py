@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from brightledger.llm.sentences import sentence_spans, split_sentences
+from brightledger.llm.sentences import lattice, sentence_spans, split_sentences
 
 
 def units(text):
@@ -82,3 +84,28 @@ def test_operator(spark):
     assert got.columns == ["doc_id", "begin_pos", "end_pos"] and got.filter("doc_id = 4").count() == 20_000
     assert sorted((r.doc_id or 0, r.begin_pos, r.end_pos) for r in got.filter("coalesce(doc_id, 0) < 4").collect()) == [(0, 0, 5), (1, 0, 4), (1, 0, 4), (1, 5, 9), (1, 5, 9)]
     assert split_sentences(df.limit(0)).count() == 0
+
+
+def test_a_unit_may_hold_any_number_of_stops():
+    parts = ["The lots came to " + ", ".join(f"{k}.5 and {k}.25" for k in range(100, 300)) + " in all.", "It closed."]
+    assert units(" ".join(parts)) == parts
+
+
+def test_lattice_against_brute_force():
+    rnd = random.Random(3)
+    for _ in range(200):
+        n = rnd.randint(1, 120)
+        ends, starts, at = [], [0], 0
+        for _ in range(n):
+            at += rnd.randint(1, 6)
+            ends.append(at)
+            at += rnd.randint(0, 2)
+            starts.append(at)
+        starts.pop()
+        score = [rnd.choice([-9.0, -5.0, -2.0, 2.0, 5.0]) for _ in ends]
+        a, b = ([(rnd.choice([0, 0, 0, 1]), rnd.choice([0, 0, 1])) for _ in ends] for _ in "ab")
+        best = [0.0]
+        for j in range(n):
+            best.append(max(best[i] + score[j] - 9.0 * (b[j] != a[i]) - 0.5 * (ends[j] - starts[i] < 3) for i in range(j + 1)))
+        got, back = lattice(starts, ends, score, a, b)
+        assert got == best and all(i <= j for j, i in enumerate(back))
