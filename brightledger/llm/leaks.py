@@ -91,7 +91,7 @@ class _Passages:
     def __init__(self, rows: list[tuple], word_df: dict[str, int], seed_df: dict[str, int], rare: int):
         self.number: dict[str, int] = {}
         self.ids, self.words, self.weight, self.length, self.seeds = [], [], [], [], []
-        owners: dict[int, list[int]] = {}
+        owners: dict[tuple[int, int], list[int]] = {}
         for item_ids, tokens in rows:
             k = len(self.ids)
             self.ids.append(item_ids)
@@ -103,9 +103,10 @@ class _Passages:
             own = {s for s in own if seed_df[" ".join(s)] <= rare} or own
             self.seeds.append(len(own))
             for s in own:
-                owners.setdefault(self._key([self.number[t] for t in s]), []).append(k)
-        self.keys = np.array(sorted(owners), np.int64)
-        self.owners = [owners[k] for k in self.keys.tolist()]
+                owners.setdefault((len(s), self._key([self.number[t] for t in s])), []).append(k)
+        # Seeds by their length: those of passages under ``SEED`` words are shorter.
+        self.keys = {n: np.array(sorted(k for m, k in owners if m == n), np.int64) for n in sorted({m for m, _ in owners})}
+        self.owners = {n: [owners[n, k] for k in keys.tolist()] for n, keys in self.keys.items()}
 
     @staticmethod
     def _key(ids: list[int]) -> int:
@@ -121,24 +122,23 @@ class _Passages:
             return
         get = self.number.get
         doc = np.array([get(t, 0) for t in tokens], np.int64)
-        n = min(SEED, len(doc))
-        key = np.zeros(len(doc) - n + 1, np.int64)
-        known = np.ones(len(key), bool)
-        for s in range(n):
-            part = doc[s : len(doc) - n + 1 + s]
-            key = (key * 1_000_003 + part) & 0x7FFFFFFFFFFFFFFF
-            known &= part > 0
-        at = np.searchsorted(self.keys, key)
-        at[at == len(self.keys)] = 0
-        hit = np.flatnonzero(known & (self.keys[at] == key)) if len(self.keys) else np.zeros(0, int)
-        if not len(hit):
-            return
         seen: dict[int, list] = {}
-        for p in hit.tolist():
-            for k in self.owners[at[p]]:
-                s = seen.setdefault(k, [set(), []])
-                s[0].add(int(at[p]))
-                s[1].append(p)
+        for n, keys in self.keys.items():
+            if n > len(doc):
+                break
+            key = np.zeros(len(doc) - n + 1, np.int64)
+            known = np.ones(len(key), bool)
+            for s in range(n):
+                part = doc[s : len(doc) - n + 1 + s]
+                key = (key * 1_000_003 + part) & 0x7FFFFFFFFFFFFFFF
+                known &= part > 0
+            at = np.searchsorted(keys, key)
+            at[at == len(keys)] = 0
+            for p in np.flatnonzero(known & (keys[at] == key)).tolist():
+                for k in self.owners[n][at[p]]:  # a passage has seeds of one length
+                    s = seen.setdefault(k, [set(), []])
+                    s[0].add(int(at[p]))
+                    s[1].append(p)
         for k, (own, places) in sorted(seen.items()):
             if len(own) < max(1.0, seeds_least * self.seeds[k]):
                 continue
@@ -176,7 +176,7 @@ def find_leaks(
 
     ``covered`` is the share of the passage (in letters) that the aligned stretch takes, ``same`` the part of the stretch
     that agrees, where rare words count by their weight. Kept from ``cover_least`` and ``same_least`` on. A document is aligned with a passage if it has
-    ``seeds_least`` of its seeds. Passages equal in words stand for each other; each is reported. Null, empty and
+    ``seeds_least`` of its seeds; a passage of fewer than ``SEED`` words is one seed. Passages equal in words stand for each other; each is reported. Null, empty and
     wordless texts on either side have no rows; repeated document keys are searched row by row and give one row a pair; other columns are not
     read. With no passages or documents the result is empty.
 

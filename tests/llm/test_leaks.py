@@ -88,3 +88,9 @@ def test_alignment_against_brute_force():
 
 def test_words():
     assert leaks.words("Ｌot No. 1,234.50 日本 Café") == ["lot", "no", "123450", "日", "本", "café"] and leaks.words(None) == []
+
+
+def test_short_passages_in_documents_of_any_length(spark):
+    items = {1: "Pakivadimo", 2: "Lot Salalabo", 3: "Dudukitile noted 58", 4: "Rilaridoka went to Dalipila Builders"}
+    found = [(1, "Minutes were read by PAKIVADIMO, who then left the room.", None), (2, "Then: lot Salalabo was closed at noon.", None), (3, "In all, Dudukitile noted 58.", None), (4, "It is said that Rilaridoka went to Dalipila Builders.", None), (5, "pakivadimo", None), (6, "Dudukitile noted 58", None), (7, "Lot 3 of Salalabo, noted by nobody on a Monday.", None)]
+    assert find(spark, found, items) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 1), (6, 3)}
