@@ -1,44 +1,25 @@
 """Column-level data quality: missing, distinct, extreme, ill-formed and (between loads) shifted values of large Parquet tables.
 
-Footers come first: exact null counts and extrema of each column chunk. Dictionaries of dictionary-encoded chunks give the
-distinct candidates and their forms. Only files whose footers and dictionaries cannot rule out a finding are scanned.
+Footers come first: exact null counts and extrema of each column chunk. Dictionary pages of dictionary-coded chunks give the
+distinct candidates and their forms without the pages of values. Only chunks whose footers and dictionaries cannot rule out a finding are read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Iterator
-from urllib.parse import urlparse
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightledger.session import written
+from brightledger.sources.columnar import ColumnFile
 
-#: Text extrema from this length on may have been cut by the writer and are not taken from footers.
-EXACT_TEXT = 32
-
-
-def _open(path: str) -> pq.ParquetFile:
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return pq.ParquetFile(u.path or path)
-    fs, inner = pafs.FileSystem.from_uri(path)
-    return pq.ParquetFile(fs.open_input_file(inner))
-
-
-def _text(v: object) -> str | None:
-    if v is None:
-        return None
-    if isinstance(v, bytes):
-        return v.decode("utf-8", "replace")
-    if isinstance(v, dt.datetime):
-        return v.strftime("%Y-%m-%d %H:%M:%S")
-    return str(v)
+_EPOCH = dt.date(1970, 1, 1)
 
 
 def _paths(df: DataFrame) -> DataFrame:
@@ -47,57 +28,67 @@ def _paths(df: DataFrame) -> DataFrame:
     return spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism)))
 
 
+def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
 def chunks(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(path, chunk, column_name, rows, nulls, least, greatest, dictionary) of each chunk of ``columns`` in the files of ``df``, from footers alone.
+    """(path, chunk, column_name, rows, nulls, least, greatest, least_day, greatest_day, dictionary) of each chunk of ``columns`` in the files of ``df``, from footers alone.
 
-    ``nulls`` is null where the footer has none; ``least`` and ``greatest`` (as text) are null where they are missing or may be cut;
-    ``dictionary`` says whether the chunk has a dictionary. Floating extrema say nothing about NaN. ``df`` must be a plain read of Parquet files.
+    ``nulls`` is null where the footer has none; ``least`` and ``greatest`` (as text) are null where they are missing or may be cut; those of dates and
+    timestamps also come as days since 1970, which is what is compared, as texts of early years do not compare. ``dictionary`` says whether all pages of
+    values are coded by a dictionary. Floating extrema say nothing about NaN. ``df`` must be a plain read of Parquet files.
     """
-    schema = "path string, chunk int, column_name string, rows long, nulls long, least string, greatest string, dictionary boolean"
+    names = ["path", "chunk", "column_name", "rows", "nulls", "least", "greatest", "least_day", "greatest_day", "dictionary"]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             for path in batch.column(0).to_pylist():
-                meta = _open(path).metadata
-                for g in range(meta.num_row_groups):
-                    group = meta.row_group(g)
-                    for i in range(group.num_columns):
-                        c = group.column(i)
-                        if c.path_in_schema not in columns:
-                            continue
-                        s = c.statistics
-                        lo, hi = (_text(s.min), _text(s.max)) if s is not None and s.has_min_max else (None, None)
-                        if c.physical_type == "BYTE_ARRAY" and max(len(lo or ""), len(hi or "")) >= EXACT_TEXT:
-                            lo = hi = None
-                        out.append((path, g, c.path_in_schema, group.num_rows, s.null_count if s is not None and s.has_null_count else None, lo, hi, c.has_dictionary_page))
-            cols = list(zip(*out)) or [()] * 8
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["path", "chunk", "column_name", "rows", "nulls", "least", "greatest", "dictionary"])
-
-    return _paths(df).mapInArrow(run, schema)
-
-
-def dictionary_values(df: DataFrame, column: str) -> DataFrame:
-    """(path, value) of the distinct texts of ``column`` in each file, decoded from the dictionaries (chunks that left the dictionary are read as values)."""
+                f = ColumnFile(path)
+                out = [(path, g, c, *f.statistics(g, c), f.coded(g, c)) for g in range(f.meta.num_row_groups) for c in columns if c in f.at]
+                yield _rows(pa.schema(list(zip(names, kinds))), out)
+
+    return _paths(df).mapInArrow(run, "path string, chunk int, column_name string, rows long, nulls long, least string, greatest string, least_day long, greatest_day long, dictionary boolean")
+
+
+def read_chunks(which: DataFrame, columns: list[str], look: Callable[[str, pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``look`` (of a name and the chunk's table) makes of each chunk in ``which`` (path, chunk, test); ``columns``: names by test."""
+    spark = which.sparkSession
+    n = which.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, f = None, None
+        for batch in batches:
+            for p, g, test in zip(*(c.to_pylist() for c in batch.columns)):
+                if p != path:
+                    path, f = p, ColumnFile(p)
+                yield look(test, f.chunk(g, columns[test]))
+
+    return which.select("path", "chunk", "test").repartition(max(1, min(n, 8 * spark.sparkContext.defaultParallelism))).mapInArrow(run, schema)
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(path, chunk, column_name, value, number) of the distinct non-null values of ``columns`` in each chunk, as text (numbers also as such).
+
+    They come from the dictionary page alone where all pages of values are coded by it; other chunks are read.
+    """
+    names = ["path", "chunk", "column_name", "value", "number"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                u = urlparse(path)
-                if u.scheme in ("", "file"):
-                    f = pq.ParquetFile(u.path or path, read_dictionary=[column])
-                else:
-                    fs, inner = pafs.FileSystem.from_uri(path)
-                    f = pq.ParquetFile(fs.open_input_file(inner), read_dictionary=[column])
-                seen: set = set()
-                for g in range(f.metadata.num_row_groups):
-                    for part in f.read_row_group(g, columns=[column]).column(0).chunks:
-                        fresh = [v for v in (part.dictionary if isinstance(part, pa.DictionaryArray) else part.unique()).to_pylist() if v is not None and v not in seen]
-                        seen.update(fresh)
-                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(fresh), pa.string()), pa.array(fresh, pa.string())], names=["path", "value"])
-
-    return _paths(df).mapInArrow(run, "path string, value string")
+                f = ColumnFile(path)
+                for g in range(f.meta.num_row_groups):
+                    for c in columns:
+                        v = f.distinct(g, c)
+                        number = v.cast(pa.float64(), safe=False) if pa.types.is_integer(v.type) or pa.types.is_floating(v.type) else pa.nulls(len(v), pa.float64())
+                        if pa.types.is_floating(v.type):
+                            v = pc.add(v, 0.0)  # one zero
+                        n = len(v)
+                        yield pa.RecordBatch.from_arrays([pa.repeat(path, n), pa.repeat(pa.scalar(g, pa.int32()), n), pa.repeat(c, n), v.cast(pa.string()), number], names=names)
+
+    return _paths(df).mapInArrow(run, "path string, chunk int, column_name string, value string, number double")
 
 
 def shape(c: Column) -> Column:
@@ -105,50 +96,53 @@ def shape(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"\p{Nd}", "9"), r"\p{L}", "A")
 
 
-def _scan(df: DataFrame, files: list[str]) -> DataFrame:
-    spark = df.sparkSession
-    return spark.read.schema(df.schema).parquet(*files) if files else spark.createDataFrame([], df.schema)
+def _shape(v: pa.Array) -> pa.Array:
+    return pc.replace_substring_regex(pc.replace_substring_regex(v, r"\p{Nd}", "9"), r"\p{L}", "A")
+
+
+def _full(v: pa.Array) -> pa.Array:
+    """Whether a text has more than blanks; false for null."""
+    return pc.fill_null(pc.not_equal(pc.utf8_trim(v, " "), ""), False)
 
 
 def profile_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, rows, missing, distinct_values, least, greatest) of ``columns`` of a plain Parquet read; extrema as text.
+    """(column_name, rows, missing, distinct_values, least, greatest) of ``columns`` of a plain Parquet read; extrema as text, of timestamps as days.
 
-    Nulls and blank texts are missing and not counted as values. Row and null counts come from footers. A text column's values come
-    from its dictionaries, and only files whose dictionaries hold a blank (or whose footers lack the null count) are scanned for missing ones. Other columns
-    are scanned for their distinct values, as their dictionaries cannot be had; their extrema come from footers, but for floating numbers, whose
-    footers leave out NaN (a value, and the greatest). An empty table gives 0 rows and null extrema.
+    Nulls and blank texts are missing and not counted as values. Row and null counts come from footers, values from dictionary pages (chunks that
+    left the dictionary are read). Chunks whose values hold a blank or whose footers lack the null count are read for missing ones. Extrema of dates come from
+    footers, if all have them; those of floating numbers from the values, as footers leave out NaN (a value, and the greatest). An empty table gives
+    0 rows and null extrema.
     """
     types = dict(df.dtypes)
     foot = written(chunks(df, columns), "footers")
-    totals = {r.column_name: r for r in foot.groupBy("column_name").agg(F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.collect_set(F.when(F.col("nulls").isNull(), F.col("path"))).alias("unknown"), F.min("least").alias("least"), F.max("greatest").alias("greatest"), F.count_if(F.col("least").isNull() & (F.col("rows") > F.coalesce("nulls", F.lit(0)))).alias("cut")).collect()}
-    parts = []
-    for c in columns:
-        t, total = F.col(c), totals.get(c)
-        rows, nulls, unknown = (total.rows, total.nulls or 0, set(total.unknown)) if total else (0, 0, set())
-        blank = t.isNull() | (F.length(F.trim(t)) == 0) if types[c] == "string" else t.isNull()
-        if types[c] == "string" and total:
-            values = written(dictionary_values(df, c), "values")
-            odd = {r.path for r in values.filter(F.length(F.trim("value")) == 0).select("path").distinct().collect()}
-            nulls = sum(r.nulls or 0 for r in foot.filter((F.col("column_name") == c) & ~F.col("path").isin(*(odd | unknown or {""}))).select("nulls").collect())
-            seen = values.filter(F.length(F.trim("value")) > 0).agg(F.countDistinct("value").alias("distinct_values"), F.min("value").alias("least"), F.max("value").alias("greatest"))
-            again = sorted(odd | unknown)
-        else:
-            shown = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss") if types[c].startswith("timestamp") else x.cast("string")  # noqa: B023, E731
-            seen = df.filter(t.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("distinct_values"), shown(F.min(c)).alias("least"), shown(F.max(c)).alias("greatest"))
-            if total and not total.cut and types[c] in ("date", "timestamp_ntz", "timestamp"):
-                seen = seen.withColumn("least", F.lit(total.least)).withColumn("greatest", F.lit(total.greatest))
-            again = sorted(unknown)
-        more = _scan(df, again).filter(blank).count() if again else 0
-        parts.append(seen.select(F.lit(c).alias("column_name"), F.lit(rows).cast("bigint").alias("rows"), F.lit(nulls + more).cast("bigint").alias("missing"), F.col("distinct_values").cast("bigint").alias("distinct_values"), "least", "greatest"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _files_with(foot: DataFrame, column: str, cleared: Column) -> DataFrame:
-    """Files with a chunk of ``column`` that its footer does not clear."""
-    return foot.filter((F.col("column_name") == column) & ~F.coalesce(cleared, F.lit(False))).select("path").distinct()
+    values = written(distinct_values(df, columns), "values")
+    text = F.col("column_name").isin(*[c for c in columns if types[c] == "string"]) if any(types[c] == "string" for c in columns) else F.lit(False)
+    blank = text & (F.length(F.trim("value")) == 0)
+    seen = values.filter(~blank).groupBy("column_name").agg(
+        F.countDistinct("value").alias("distinct_values"), F.min("value").alias("a"), F.max("value").alias("z"), F.min("number").alias("least_number"), F.max("number").alias("greatest_number"))
+    odd = values.filter(blank).select("path", "chunk", "column_name").distinct().withColumn("odd", F.lit(True))
+    foot = written(foot.join(odd, ["path", "chunk", "column_name"], "left").withColumn("odd", F.coalesce("odd", F.lit(False)) | F.col("nulls").isNull()), "footers")
+
+    def missing(test: str, t: pa.Table) -> pa.RecordBatch:
+        v = t.column(0).combine_chunks()
+        n = len(v) - pc.sum(_full(v)).as_py() if pa.types.is_string(v.type) or pa.types.is_large_string(v.type) else v.null_count
+        return pa.RecordBatch.from_arrays([pa.array([test]), pa.array([n], pa.int64())], names=["column_name", "n"])
+
+    again = foot.filter("odd").select("path", "chunk", F.col("column_name").alias("test"))
+    more = read_chunks(again, {c: [c] for c in columns}, missing, "column_name string, n long").groupBy("column_name").agg(F.sum("n").alias("more"))
+    total = foot.groupBy("column_name").agg(
+        F.sum("rows").alias("rows"), F.sum(F.when(~F.col("odd"), F.col("nulls"))).alias("nulls"), F.min("least_day").alias("d0"), F.max("greatest_day").alias("d1"),
+        F.count_if(F.col("least_day").isNull() & (F.col("rows") > F.coalesce("nulls", F.lit(0)))).alias("cut"))
+    named = df.sparkSession.createDataFrame([(c, i, types[c]) for i, c in enumerate(columns)], "column_name string, at int, type string")
+    out = named.join(total, "column_name", "left").join(seen, "column_name", "left").join(more, "column_name", "left")
+    dated = F.col("type").isin("date", "timestamp", "timestamp_ntz")
+    day = lambda d, v: F.when(F.col("cut") == 0, F.date_format(F.date_add(F.lit(_EPOCH), F.col(d).cast("int")), "yyyy-MM-dd")).otherwise(F.substring_index(v, " ", 1))
+    shown = lambda d, v, n: F.when(dated, day(d, v)).when(F.col(n).isNotNull(), F.when(F.col("type").isin("double", "float"), F.col(n).cast("string")).otherwise(F.col(n).cast("decimal(20,0)").cast("string"))).otherwise(F.col(v))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    return out.select(
+        "column_name", zero("rows").alias("rows"), (zero("nulls") + zero("more")).alias("missing"), zero("distinct_values").alias("distinct_values"),
+        shown("d0", "a", "least_number").alias("least"), shown("d1", "z", "greatest_number").alias("greatest"),
+    )
 
 
 #: Sizes of the random samples whose expected distinct values are compared between loads.
@@ -184,10 +178,11 @@ def _spread_of(values: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, "load string, k string, top long, distinct array<double>")
 
 
-def load_statistics(df: DataFrame, load: str, day: str, amount: str, date: str, code: str) -> DataFrame:
+def load_statistics(df: DataFrame, load: str, day: str, amount: str, date: str, code: str, form: str | None = None) -> DataFrame:
     """Per load: rows, missing shares, and of an amount (a), a date (d) and a code (c) the rows of the most frequent value and the expected distinct shares of ``SAMPLES``.
 
-    Quartiles are of the amount's logarithm and of the date as days before the load's day; a code has none, but the rows of its most frequent form.
+    Quartiles are of the amount's logarithm and of the date as days before the load's day; a code has none, but the rows of its most frequent form, and those of the
+    given ``form`` (c_good).
     """
     a, d, c = F.col(amount), F.to_date(date), F.col(code)
     lag = F.datediff(F.to_date(day), d)
@@ -198,6 +193,7 @@ def load_statistics(df: DataFrame, load: str, day: str, amount: str, date: str,
     base = kept.groupBy("load").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("a").isNull()).alias("a_missing"), F.count_if(F.col("d").isNull()).alias("d_missing"), F.count_if(F.col("c").isNull()).alias("c_missing"),
+        F.count_if(F.coalesce(shape(F.col("c")) == F.lit(form), F.lit(False))).alias("c_good"),
         quart("log").alias("a_q"), quart(F.log1p(F.greatest(F.col("lag"), F.lit(0)).cast("double"))).alias("d_q"),
     )
     seen = lambda k, v, x: F.struct(F.lit(k).alias("k"), F.when(x.isNotNull(), F.xxhash64(v)).alias("v"))
@@ -249,6 +245,13 @@ def drifted(stats: list[dict], key: str, shift: float) -> list[str]:
     return sorted(out)
 
 
+def _days(v: pa.ChunkedArray) -> np.ndarray:
+    """Days since 1970 of dates or timestamps, whatever the year; 0 for null."""
+    if pa.types.is_date32(v.type):
+        return v.cast(pa.int32()).fill_null(0).to_numpy().astype(np.int64)
+    return np.floor_divide(v.cast(pa.timestamp("us"), safe=False).cast(pa.int64()).fill_null(0).to_numpy(), 86_400_000_000)
+
+
 def find_issues(
     df: DataFrame, key: str = "id", load: str = "load_id", day: str = "loaded_at", amount: str = "contract_amount", date: str = "award_date", code: str = "reference_id",
     least: float = 1.0, most: float = 1e10, first_day: str = "2006-01-01", usual_share: float = 0.9,
@@ -259,46 +262,80 @@ def find_issues(
     present code not of the form that ``usual_share`` of the present ones have (if one form does). Missing values are none. Rows with a null key report a null item. ``df`` is a plain
     Parquet read; an empty table has no issues. Other columns are not read.
 
-    Statistics per load (a few numbers each) come to the driver; the number of loads is that of deliveries, not of rows.
+    Only chunks are read for violations that neither footers (days) nor dictionary pages (amounts, with NaN, and forms of codes) clear. Columns of a kind that
+    the files' statistics do not serve (dates kept as text, instants with a zone) are filtered by Spark instead. Statistics per load (a few numbers each) come to
+    the driver; the number of loads is that of deliveries, not of rows.
     """
     spark = df.sparkSession
-    foot = written(chunks(df, [amount, date, day]), "footers")
-    forms = written(dictionary_values(df, code).filter(F.length(F.trim("value")) > 0).groupBy("path", shape(F.col("value")).alias("form")).agg(F.count(F.lit(1)).alias("n")), "forms")
-    present = df.filter(F.length(F.trim(code)) > 0)
-    stats = [r.asDict(recursive=True) for r in load_statistics(df, load, day, amount, date, code).collect()]
+    types = dict(df.dtypes)
+    first = (dt.date.fromisoformat(first_day) - _EPOCH).days
+    foot = written(chunks(df, [amount, date, day, code]), "footers")
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Forms of the code in each chunk, and whether a coded chunk of amounts holds a bad one."""
+        schema = pa.schema([("path", pa.string()), ("chunk", pa.int32()), ("column_name", pa.string()), ("form", pa.string()), ("n", pa.int64())])
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                f = ColumnFile(path)
+                for g in range(f.meta.num_row_groups):
+                    v = f.distinct(g, code).cast(pa.string())
+                    forms = _shape(v.filter(_full(v))).value_counts().to_pylist()
+                    out = [(path, g, code, x["values"], x["counts"]) for x in forms]
+                    v = f.dictionary(g, amount)
+                    if v is not None and pa.types.is_floating(v.type):
+                        x = v.to_numpy(zero_copy_only=False)
+                        out.append((path, g, amount, "bad" if (np.isnan(x) | (x < least) | (x > most)).any() else "good", len(x)))
+                    yield _rows(schema, out)
+
+    plain = types[key] in ("string", "int", "bigint")
+    by_chunk = {amount: plain and types[amount] in ("double", "float"), date: plain and {types[date], types[day]} <= {"date", "timestamp_ntz"}, code: plain and types[code] == "string"}
+    seen = written(_paths(df).mapInArrow(marks, "path string, chunk int, column_name string, form string, n long"), "forms") if types[code] == "string" else spark.createDataFrame([], "path string, chunk int, column_name string, form string, n long")
     # The usual form is sought among the distinct candidates first; the rows decide.
-    likely = forms.groupBy("form").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "form").limit(1).collect()
+    likely = seen.filter(F.col("column_name") == code).groupBy("form").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "form").limit(1).collect()
+    stats = [r.asDict(recursive=True) for r in load_statistics(df, load, day, amount, date, code, likely[0].form if likely else None).collect()]
+    n, good = (sum(s["n"] - s["c_missing"] for s in stats), sum(s["c_good"] for s in stats))
     usual = None
-    if likely:
-        n, good = present.agg(F.count(F.lit(1)), F.count_if(shape(F.col(code)) == likely[0].form)).first()
-        if n and good >= usual_share * n:
-            usual = likely[0].form
-        elif n:
-            best = present.groupBy(shape(F.col(code)).alias("form")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "form").limit(1).first()
-            usual = best.form if best.n >= usual_share * n else None
-    out = []
-    # Files that footers and dictionaries clear are not scanned. No footer rules out NaN.
-    day_of = F.expr(f"substring(least, 1, 10) >= '{first_day}'")
-    bounds = foot.filter(F.col("column_name") == day).groupBy("path").agg(F.min(F.substring("least", 1, 10)).alias("loaded"), F.count_if(F.col("least").isNull()).alias("unknown"))
-    dated = foot.filter(F.col("column_name") == date).join(bounds, "path", "left")
-    late = dated.filter(~F.coalesce((F.col("rows") == F.col("nulls")) | (day_of & (F.col("unknown") == 0) & (F.substring("greatest", 1, 10) <= F.col("loaded"))), F.lit(False))).select("path").distinct()
-    odd = forms.filter(F.col("form") != F.lit(usual)).select("path").distinct() if usual is not None else None
-    full = _files_with(foot, amount, F.col("rows") == F.col("nulls"))
-
-    def scan(paths: DataFrame, column: str, bad: Column) -> None:
-        files = [r.path for r in paths.collect()]  # file names, of which the driver has the list anyway
-        if not files:
-            return
-        src = spark.read.schema(df.schema).parquet(*files)
-        out.append(src.filter(bad).select(F.lit(column).alias("column_name"), F.lit("violation").alias("issue"), F.col(key).cast("string").alias("item")))
-
+    if n and likely and good >= usual_share * n:
+        usual = likely[0].form
+    elif n:
+        best = df.filter(F.length(F.trim(code)) > 0).groupBy(shape(F.col(code)).alias("form")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "form").limit(1).first()
+        usual = best.form if best.n >= usual_share * n else None
+    # Chunks that footers and dictionaries do not clear.
+    at = ["path", "chunk"]
+    whole = F.coalesce(F.col("rows") == F.col("nulls"), F.lit(False))
+    of = lambda c: foot.filter((F.col("column_name") == c) & ~whole)
+    cleared = seen.filter((F.col("column_name") == amount) & (F.col("form") == "good"))
+    loaded = foot.filter(F.col("column_name") == day).select(*at, F.col("least_day").alias("loaded"))
+    late = of(date).join(loaded, at, "left").filter(~F.coalesce((F.col("least_day") >= first) & (F.col("greatest_day") <= F.col("loaded")), F.lit(False)))
+    odd = of(code).join(seen.filter((F.col("column_name") == code) & (F.col("form") != F.lit(usual))).select(*at).distinct(), at) if usual is not None else None
+    tests = {amount: of(amount).join(cleared, at, "left_anti"), date: late, code: odd}
+
+    def look(test: str, t: pa.Table) -> pa.RecordBatch:
+        v = t.column(test)
+        full = v.is_valid().to_numpy()
+        if test == amount:
+            x = v.fill_null(0.0).to_numpy()
+            bad = full & (np.isnan(x) | (x < least) | (x > most))
+        elif test == date:
+            x = _days(v)
+            bad = full & ((x < first) | (t.column(day).is_valid().to_numpy() & (x > _days(t.column(day)))))
+        else:
+            v = v.combine_chunks()
+            bad = pc.and_(_full(v), pc.fill_null(pc.not_equal(_shape(v), usual), False)).to_numpy(zero_copy_only=False)
+        item = t.column(key).combine_chunks().cast(pa.string()).filter(pa.array(bad))
+        return pa.RecordBatch.from_arrays([pa.repeat(test, len(item)), pa.repeat("violation", len(item)), item], names=["column_name", "issue", "item"])
+
+    schema = "column_name string, issue string, item string"
+    result = spark.createDataFrame([(c, "drift", x) for c, k, shift in ((amount, "a", 1.0), (date, "d", 1.0), (code, "c", 1e9)) for x in drifted(stats, k, shift) if x is not None], schema)
+    wanted = [which.select(*at, F.lit(c).alias("test")) for c, which in tests.items() if by_chunk[c] and which is not None]
+    if wanted:
+        every = wanted[0]
+        for w in wanted[1:]:
+            every = every.unionByName(w)
+        result = result.unionByName(read_chunks(written(every, "chunks"), {amount: [key, amount], date: [key, date, day], code: [key, code]}, look, schema))
     a, d = F.col(amount), F.to_date(date)
-    scan(full, amount, F.isnan(a) | (a < least) | (a > most))
-    scan(late, date, (d < F.to_date(F.lit(first_day))) | (d > F.to_date(day)))
-    if odd is not None:
-        scan(odd, code, (F.length(F.trim(code)) > 0) & (shape(F.col(code)) != F.lit(usual)))
-    drift = [(c, "drift", x) for c, k, shift in ((amount, "a", 1.0), (date, "d", 1.0), (code, "c", 1e9)) for x in drifted(stats, k, shift) if x is not None]
-    result = spark.createDataFrame(drift, "column_name string, issue string, item string")
-    for x in out:
-        result = result.unionByName(x)
+    filters = {amount: F.isnan(a) | (a < least) | (a > most), date: (d < F.to_date(F.lit(first_day))) | (d > F.to_date(day)), code: (F.length(F.trim(code)) > 0) & (shape(F.col(code)) != F.lit(usual)) if usual is not None else None}
+    for c, bad in filters.items():
+        if not by_chunk[c] and bad is not None:
+            result = result.unionByName(df.filter(bad).select(F.lit(c).alias("column_name"), F.lit("violation").alias("issue"), F.col(key).cast("string").alias("item")))
     return result

@@ -54,13 +54,17 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_issues(table(spark, folder, "raw_awards"))
 
 
+def p5_violations(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_found(spark, folder).filter("issue = 'violation'")
+
+
 def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
     out = profile_columns(table(spark, folder, "raw_awards"), ["contract_amount", "award_date", "reference_id"])
     shown = lambda c: F.when(F.col("column_name") == "contract_amount", F.format_string("%.2f", F.col(c).try_cast("double"))).otherwise(F.substring(c, 1, 10))
     return out.withColumn("least", shown("least")).withColumn("greatest", shown("greatest"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_by_agency": p1_by_agency, "p1_by_supplier": p1_by_supplier, "p4_found": p4_found, "p5_found": p5_found, "p5_profile": p5_profile}
+QUERIES = {"p1_found": p1_found, "p1_by_agency": p1_by_agency, "p1_by_supplier": p1_by_supplier, "p4_found": p4_found, "p5_found": p5_found, "p5_violations": p5_violations, "p5_profile": p5_profile}
 
 
 def _totals_sql(key: str, other: str) -> str:
@@ -73,7 +77,13 @@ _PROFILE = """SELECT '{c}' AS column_name, (SELECT count(*) FROM raw_awards) AS
 
 _SHOWN = "CASE WHEN isnan({0}) THEN 'NaN' ELSE printf('%.2f', {0}) END"
 
+_SHAPE = r"regexp_replace(regexp_replace(reference_id, '\p{Nd}', '9', 'g'), '\p{L}', 'A', 'g')"
+
 ORACLES = {
+    "p5_violations": f"""WITH f AS (SELECT {_SHAPE} AS form, count(*) AS n FROM raw_awards WHERE trim(reference_id) <> '' GROUP BY 1)
+        SELECT 'contract_amount' AS column_name, 'violation' AS issue, id AS item FROM raw_awards WHERE isnan(contract_amount) OR contract_amount < 1 OR contract_amount > 1e10
+        UNION ALL SELECT 'award_date', 'violation', id FROM raw_awards WHERE award_date::DATE < DATE '2006-01-01' OR award_date::DATE > loaded_at::DATE
+        UNION ALL SELECT 'reference_id', 'violation', id FROM raw_awards JOIN f ON n >= 0.9 * (SELECT sum(n) FROM f) WHERE trim(reference_id) <> '' AND {_SHAPE} <> form""",
     "p1_found": """SELECT 'agency_id' AS key_name, agency_id AS key_value FROM core_awards WHERE agency_id IS NOT NULL GROUP BY agency_id
         HAVING count(*) > 0.01 * (SELECT count(*) FROM core_awards)
         UNION ALL SELECT 'supplier_id', supplier_id FROM core_awards WHERE supplier_id IS NOT NULL GROUP BY supplier_id

@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset (tests, a single
-    machine) a temporary folder is made and set for the session.
+    It is the cluster's ``spark.checkpoint.dir``. Only on a single machine (a ``local`` master, as in tests) is a
+    temporary folder made where that is unset; on a cluster executors would each write to a disk of their own, so there it is an error.
     """
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="brightledger-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         known = "file://" + own
@@ -31,28 +32,16 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     """``df`` as a table written once to the shared folder and read again.
 
     Used where a result has several readers: the lineage ends here, so a lost executor costs a read of
-    the files and not the whole computation. The files go when the driver ends.
+    the files and not the whole computation. The driver's file system deletes the files when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _written:
-        atexit.register(_clean)
-    _written.append((spark, path))
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001  the session may be gone already
-            pass
-    _written.clear()
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

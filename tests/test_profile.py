@@ -1,6 +1,8 @@
 import datetime as dt
 import itertools
 
+from pyspark.sql import functions as F
+
 from brightledger.operators import profile
 
 SCHEMA = "id string, load_id int, loaded_at timestamp_ntz, contract_amount double, award_date timestamp_ntz, reference_id string, extra string"
@@ -40,6 +42,52 @@ def test_violations(spark, tmp_path):
     assert issues(write(spark, tmp_path, d)) == want
 
 
+def test_early_years_are_violations(spark, tmp_path):
+    # Texts of years under 1000 do not compare as days do; a footer must not clear such a file.
+    d = rows()
+    d[0][4], d[1][4], d[2][4] = dt.datetime(206, 1, 5), dt.datetime(999, 12, 31, 23, 59), dt.datetime(1, 1, 1)
+    df = write(spark, tmp_path, d)
+    assert {x for x in issues(df) if x[1] == "violation"} == {("award_date", "violation", f"0-{i}") for i in (0, 1, 2)}
+    got = profile.profile_columns(df, ["award_date"]).first()
+    assert (got.least, got.greatest[:4]) == ("0001-01-01", "2024")
+
+
+def test_only_chunks_that_are_not_cleared_are_read(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    d = rows(4, 200)
+    d[5][3], d[250][4], d[460][5] = float("nan"), dt.datetime(1999, 1, 1), "x"
+    cols = ["id", "load_id", "loaded_at", "contract_amount", "award_date", "reference_id", "extra"]
+    kinds = [pa.string(), pa.int32(), pa.timestamp("us"), pa.float64(), pa.timestamp("us"), pa.string(), pa.string()]
+    for coded in (True, False):
+        path = str(tmp_path / f"groups{coded}.parquet")
+        pq.write_table(pa.table([pa.array([r[i] for r in d], k) for i, k in enumerate(kinds)], names=cols), path, row_group_size=100, use_dictionary=coded, compression="gzip")
+        seen = []
+        real = profile.read_chunks
+
+        def watched(which, *rest, seen=seen, real=real):
+            seen.extend((r.chunk, r.test) for r in which.collect())
+            return real(which, *rest)
+
+        profile.read_chunks = watched
+        try:
+            got = issues(spark.read.parquet(path))
+        finally:
+            profile.read_chunks = real
+        assert {x for x in got if x[1] == "violation"} == {("contract_amount", "violation", "0-5"), ("award_date", "violation", "1-50"), ("reference_id", "violation", "2-60")}
+        amounts = [0] if coded else range(8)  # no footer rules out NaN; a dictionary does
+        assert sorted(seen) == sorted([(g, "contract_amount") for g in amounts] + [(2, "award_date"), (4, "reference_id")])
+
+
+def test_columns_without_statistics_are_filtered(spark, tmp_path):
+    d = rows()
+    d[0][4], d[1][4] = dt.datetime(206, 1, 5), None
+    path = str(tmp_path / "text")
+    write(spark, tmp_path, d).withColumn("award_date", F.col("award_date").cast("string")).write.parquet(path)
+    assert {x for x in issues(spark.read.parquet(path)) if x[1] == "violation"} == {("award_date", "violation", "0-0")}
+
+
 def test_drift(spark, tmp_path):
     d = rows()
     for r in d:
@@ -107,7 +155,7 @@ def test_footers(spark, tmp_path):
     got = profile.chunks(df, ["contract_amount", "reference_id"]).collect()
     assert sum(r.rows for r in got if r.column_name == "reference_id") == df.count()
     assert all(r.nulls == 0 for r in got) and min(float(r.least) for r in got if r.column_name == "contract_amount") == 1000.0
-    values = {r.value for r in profile.dictionary_values(df, "reference_id").collect()}
+    values = {r.value for r in profile.distinct_values(df, ["reference_id"]).collect()}
     assert values == {r.reference_id for r in df.select("reference_id").collect()}
 
 
