@@ -2,15 +2,16 @@
 
 A text falls into blocks at blank lines. In a block every place where a unit may end is a candidate: after end marks
 with their closing quotes, at line breaks, and at Thai blanks. Dynamic programming then picks the row of whole spans
-with the best sum of scores. A span is scored as a whole: how it opens (upper case, list mark, opening word), how it
-closes (kind of mark, abbreviation or number before it, what follows), whether its quotes and brackets balance, and
-how long it is.
+with the best sum of scores. A span's score has its closing (kind of mark, abbreviation or number as its last word, and how the next span opens: upper case,
+list mark, opening word) and what only the whole of it shows: whether its quotes and brackets balance, how long it is, and whether it holds a
+letter or digit at all.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -73,6 +74,7 @@ _END = re.compile(rf"[{re.escape(MARKS)}]+[{re.escape(CLOSERS)}]*")
 _WORD = re.compile(r"[^\W_]+(?:[.'’][^\W_]+)*\.?")
 _THAI = re.compile(r"(?<=[ก-๎])[^\S\n]+(?=[ก-๎])")
 _QUOTE = re.compile("[" + re.escape("".join(OPEN) + "".join(OPEN.values()) + '"') + "]")
+_ALNUM = re.compile(r"[^\W_]")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿豈-﫿ｦ-ﾟ]")
 
 
@@ -87,9 +89,10 @@ def _last_word(text: str, lo: int, at: int) -> str:
 
 
 def _greek(text: str, at: int, lo: int) -> bool:
-    """Whether the nearest letters before ``at`` are mostly Greek (numbers and blanks are passed over)."""
+    """Whether the nearest letters before ``at``, of the 200 characters there, are mostly Greek (numbers and blanks are passed over)."""
     seen = greek = 0
     i = at - 1
+    lo = max(lo, at - 200)
     while i >= lo and seen < 12:
         if text[i].isalpha():
             seen += 1
@@ -134,7 +137,7 @@ class _Block:
             return 2.0
         w = self.next_word(k)
         if not w:
-            return 2.0 if not (c in ",;:)]}" or c in CLOSERS) else -3.0
+            return 2.0 if not (c in ",;:)]}" or c in CLOSERS or c in MARKS) else -3.0
         if self.case != "mixed":
             first = w.rstrip(".").casefold()
             return 2.0 if first in OPENERS or k > at else (-0.5 if w[0].upper() != w[0].lower() else 2.0)
@@ -146,8 +149,9 @@ class _Block:
         """Score of closing after the marks ``text[start:end]`` when the next unit would begin at ``nxt``."""
         text, lo = self.text, self.lo
         if self.whole == "mixed":
-            spans = (max(lo, start - 80), start), (nxt, min(nxt + 80, self.hi))
-            self.case = _case(*(sum(c[b - lo] - c[a - lo] for a, b in spans) for c in (self.uppers, self.lowers)), 20)
+            up, low = self.uppers, self.lowers
+            a, b, c, d = max(0, start - 80 - lo), start - lo, nxt - lo, min(nxt + 80, self.hi) - lo
+            self.case = _case(up[b] - up[a] + up[d] - up[c], low[b] - low[a] + low[d] - low[c], 20)
         else:
             self.case = self.whole
         run = text[start:end]
@@ -190,7 +194,10 @@ class _Block:
             return 4.0 if opens > 0 else -4.0
         if before.isdigit() or (before.isalnum() and word[:1].isdigit()):
             if re.fullmatch(r"\d{1,2}", word):
-                earlier = _last_word(text, lo, len(text[lo : start - len(word)].rstrip()) + lo)
+                at = start - len(word)
+                while at > lo and text[at - 1].isspace():
+                    at -= 1
+                earlier = _last_word(text, lo, at)
                 if earlier in BEFORE_ORDINAL:
                     return -5.0
             return 4.0 if opens > 0 else -4.0
@@ -268,6 +275,16 @@ def _balance(text: str, lo: int, hi: int, places: list[int]) -> dict[int, tuple[
     return out
 
 
+def _letters(text: str, starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+    """How many stretches between the places of ``starts`` and ``ends`` (in turn) before each hold a letter or digit."""
+    a, b, n = [], [], 0
+    for s, e in zip(starts, ends):
+        a.append(n)
+        n += _ALNUM.search(text, s, e) is not None
+        b.append(n)
+    return a, b
+
+
 def _wrap(text: str, lines: list[tuple[int, int]]) -> int:
     """Width to which the block's lines were broken; 0 if they were not."""
     if len(lines) < 2:
@@ -276,15 +293,17 @@ def _wrap(text: str, lines: list[tuple[int, int]]) -> int:
     return w if 55 <= w <= 100 else 0
 
 
-def _runs_on(text: str, a: int, b: int, a2: int, found: dict[int, tuple[int, float]]) -> bool:
+def _runs_on(text: str, a: int, b: int, a2: int, good: list[int]) -> bool:
     """Whether the line ``text[a:b]``, which has no end mark, breaks off within a sentence that the next line goes on with.
 
     So it is if the line ended other sentences before (a heading has the line for itself), ends in a word that calls for more, or begins like a sentence.
+    ``good``: places, in order, where end marks close well.
     """
     thai = lambda c: "ก" <= c <= "๎"
     if thai(text[b - 1]) or thai(text[a2]):
         return False
-    if any(a < e < b and g > 1 for e, (_, g) in found.items()):
+    k = bisect_right(good, a)
+    if k < len(good) and good[k] < b:
         return True
     words = text[a:b].split()
     last = words[-1].strip("(\"'“«„‘¿¡").casefold()
@@ -295,34 +314,60 @@ def _runs_on(text: str, a: int, b: int, a2: int, found: dict[int, tuple[int, flo
     return first in OPENERS and first not in HEADS and len(words) > 1 and not line.isupper() and line[-1] not in ":："
 
 
-def lattice(starts: list[int], ends: list[int], score: list[float], at_start: list, at_end: list) -> tuple[list[float], list[int]]:
+#: A span of fewer characters than this loses, the more the shorter it is, up to ``SHORT_LOSS``.
+USUAL, SHORT_LOSS = 40, 0.5
+#: What a span loses whose quotes or brackets do not balance, and one without a letter or digit.
+UNBALANCED, EMPTY = 9.0, 6.0
+
+
+def span_loss(width: int, balanced: bool, full: bool) -> float:
+    """What a whole span loses for its length, its quotes and brackets, and for having no letter or digit."""
+    short = USUAL - width
+    return (SHORT_LOSS * (short / USUAL) ** 2 if short > 0 else 0.0) + (0.0 if balanced else UNBALANCED) + (0.0 if full else EMPTY)
+
+
+def lattice(starts: list[int], ends: list[int], score: list[float], at_start: list, at_end: list, full_start: list[int], full_end: list[int]) -> tuple[list[float], list[int]]:
     """Best value of the spans up to each end, and the span that each best way ends with. Spans may be of any width.
 
-    A span gets the score of closing at its end, less 9 if quotes or brackets do not balance and less 0.5 under 3 characters. Its begin
-    matters only by these, so the best way to a begin is kept for each balance, and overall; the few begins close by are tried one by one.
+    A span gets the score of closing at its end (which looks at its last word and at how the next one opens), less ``span_loss`` of the whole of it.
+    ``full_start`` and ``full_end``: letters and digits before each place. Begins from ``USUAL`` characters back matter only by balance, so the best way to
+    a begin is kept for each balance, and overall; the few nearer ones are tried one by one. So the search is exact and linear.
     """
     n = len(ends)
     best = [0.0] + [float("-inf")] * n
     back = [0] * (n + 1)
-    at: dict = {}  # balance -> the best begin with it, of those far enough back
-    top, p = -1, 0
+    # The best far begin for each balance, and (under None) of all: with a letter or digit since, and without.
+    full: dict = {}
+    empty: dict = {}
+    p = seen = 0
     for j in range(1, n + 1):
-        e, here = ends[j - 1], at_end[j - 1]
-        while p < j and e - starts[p] >= 3:
-            k = at.get(at_start[p], -1)
-            if k < 0 or best[p] >= best[k]:
-                at[at_start[p]] = p
-            if top < 0 or best[p] >= best[top]:
-                top = p
+        e, here, letters, close = ends[j - 1], at_end[j - 1], full_end[j - 1], score[j - 1]
+        if letters > seen:  # there is one since all begins so far
+            seen = letters
+            for k, i in empty.items():
+                if k not in full or best[i] >= best[full[k]]:
+                    full[k] = i
+            empty = {}
+        while p < j and e - starts[p] >= USUAL:
+            into = full if letters > full_start[p] else empty
+            for k in (at_start[p], None):
+                if k not in into or best[p] >= best[into[k]]:
+                    into[k] = p
             p += 1
-        for i in sorted({*range(p, j), top, at.get(here, -1)} - {-1}, reverse=True):
-            value = best[i] + score[j - 1]
-            if here != at_start[i]:
-                value -= 9.0
-            if i >= p:
-                value -= 0.5
-            if value > best[j]:
-                best[j], back[j] = value, i
+        most, by = float("-inf"), 0
+        for i in range(j - 1, p - 1, -1):
+            value = best[i] - span_loss(e - starts[i], here == at_start[i], letters > full_start[i])
+            if value > most:
+                most, by = value, i
+        for far, loss in ((full, 0.0), (empty, EMPTY)):
+            if far:
+                i = far.get(here, -1)
+                if i >= 0 and best[i] - loss > most:
+                    most, by = best[i] - loss, i
+                i = far[None]
+                if best[i] - loss - UNBALANCED > most:
+                    most, by = best[i] - loss - UNBALANCED, i
+        best[j], back[j] = most + close, by
     return best, back
 
 
@@ -340,8 +385,8 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
     for a, b in lines:
         if m := _LIST.match(text, a, b):
             marks[a] = m.end()
-    listed = sorted(marks.items())
-    inside = lambda p: any(a <= p < b for a, b in listed) if listed else False
+    listed = sorted(marks)
+    low_quote = text.find("„", lo, hi)
 
     # Candidates: end of a unit -> (begin of the next, score of closing there).
     found: dict[int, tuple[int, float]] = {}
@@ -351,9 +396,11 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
         while end - start > 1 and text[end - 1] in "\"'“" and (end >= hi or not text[end].isspace()) and text[end - 2].isspace():
             end -= 1
         run = text[start:end]
-        if run[-1] == "“" and "„" not in text[lo:start]:
+        if run[-1] == "“" and not 0 <= low_quote < start:
             end -= len(run) - len(run.rstrip("“"))
-        if end >= hi or inside(start):
+        if end >= hi:
+            continue
+        if listed and (k := bisect_right(listed, start)) and start < marks[listed[k - 1]]:
             continue
         nxt = end
         while nxt < hi and text[nxt].isspace():
@@ -363,6 +410,7 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
         found[end] = (nxt, block.close(start, end, nxt))
     for m in _THAI.finditer(text, lo, hi):
         found[m.start()] = (m.end(), 6.0)
+    good = sorted(e for e, (_, g) in found.items() if g > 1)
     for (a, b), (a2, b2) in zip(lines, lines[1:]):
         has_mark = a2 in marks
         word = text[a2:b2].split(None, 1)[0]
@@ -382,7 +430,7 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
             g = 8.0
         elif broken:
             g = -5.0
-        elif _runs_on(text, a, b, a2, found):
+        elif _runs_on(text, a, b, a2, good):
             g = -5.0
         elif case == "mixed" and text[a2].islower() and a not in marks and not (len(word) > 2 and word[1].isupper()):
             g = -5.0
@@ -400,7 +448,8 @@ def _units(text: str, lo: int, hi: int, case: str) -> Iterator[tuple[int, int]]:
     state = _balance(text, lo, hi, sorted({*starts, *ends}))
     at_start, at_end = [state[p] for p in starts], [state[p] for p in ends]
     n = len(ends)
-    best, back = lattice(starts, ends, score, at_start, at_end)
+    full_start, full_end = _letters(text, starts, ends)
+    best, back = lattice(starts, ends, score, at_start, at_end, full_start, full_end)
     cut, j = [], n
     while j:
         i = back[j]

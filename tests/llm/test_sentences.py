@@ -1,8 +1,9 @@
 import random
+import time
 
 import pytest
 
-from brightledger.llm.sentences import lattice, sentence_spans, split_sentences
+from brightledger.llm.sentences import lattice, sentence_spans, span_loss, split_sentences
 
 
 def units(text):
@@ -93,19 +94,58 @@ def test_a_unit_may_hold_any_number_of_stops():
 
 def test_lattice_against_brute_force():
     rnd = random.Random(3)
-    for _ in range(200):
+    for _ in range(300):
         n = rnd.randint(1, 120)
+        most = rnd.choice([6, 60])
         ends, starts, at = [], [0], 0
         for _ in range(n):
-            at += rnd.randint(1, 6)
+            at += rnd.randint(1, most)
             ends.append(at)
             at += rnd.randint(0, 2)
             starts.append(at)
         starts.pop()
         score = [rnd.choice([-9.0, -5.0, -2.0, 2.0, 5.0]) for _ in ends]
         a, b = ([(rnd.choice([0, 0, 0, 1]), rnd.choice([0, 0, 1])) for _ in ends] for _ in "ab")
+        has = [rnd.random() < 0.4 for _ in ends]
+        before = [sum(has[:k]) for k in range(n + 1)]
         best = [0.0]
         for j in range(n):
-            best.append(max(best[i] + score[j] - 9.0 * (b[j] != a[i]) - 0.5 * (ends[j] - starts[i] < 3) for i in range(j + 1)))
-        got, back = lattice(starts, ends, score, a, b)
-        assert got == best and all(i <= j for j, i in enumerate(back))
+            best.append(max(best[i] + score[j] - span_loss(ends[j] - starts[i], b[j] == a[i], any(has[i : j + 1])) for i in range(j + 1)))
+        got, back = lattice(starts, ends, score, a, b, before[:-1], before[1:])
+        assert all(abs(x - y) < 1e-9 for x, y in zip(got, best)) and all(i <= j for j, i in enumerate(back))
+
+
+def test_wide_units_are_whole():
+    for n in (70, 100, 2000):
+        text = " ".join(["The panel heard"] + ["Dr. Cruz,"] * n + ["and Dr. Tan."])
+        assert units(text + " It closed.") == [text, "It closed."]
+
+
+def test_spaced_leaders_do_not_end_a_unit():
+    assert units("Offers were read: . . . none was late.") == ["Offers were read: . . . none was late."]
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda n: "\n".join(f"- item {i} of the list" for i in range(n)),
+        lambda n: "\n".join(f"plain line {i} without a mark" for i in range(n)),
+        lambda n: "He said “go”. " * n,
+        lambda n: ". . . " * n,
+        lambda n: "5; 6; " * n,
+    ],
+)
+def test_work_is_linear(make):
+    def took(n):
+        text = make(n)
+        times = []
+        for _ in range(3):
+            began = time.process_time()
+            sentence_spans(text)
+            times.append(time.process_time() - began)
+        return min(times)
+
+    took(200)
+    assert took(16000) < 8 * took(4000) + 0.05  # four times the text; quadratic work takes sixteen times as long
+
+
