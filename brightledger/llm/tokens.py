@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -32,9 +33,9 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Distinct pieces whose ids a worker keeps; beyond it the store is emptied. It bounds memory, never the result.
-KEPT_PIECES = 400_000
-#: Transducer states a worker keeps before it starts over.
-KEPT_STATES = 100_000
+KEPT_PIECES = 200_000
+#: Transducer states, and answers on neighbouring tokens, that a worker keeps before it starts over.
+KEPT_STATES, KEPT_FITS = 100_000, 500_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -50,20 +51,34 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.open = {t[:n] for t in ranks for n in range(1, len(t) + 1)}
         self.token = {i: t for t, i in ranks.items()}
-        self._fits: dict[tuple[int, int], bool] = {}
+        # Beginnings of tokens as nodes of a tree: node and byte -> node; the root is 0.
+        self.child: dict[int, int] = {}
+        self.ends: dict[int, int] = {}
+        child, nodes = self.child, 1
+        for t, i in ranks.items():
+            node = 0
+            for b in t:
+                k = node << 8 | b
+                got = child.get(k)
+                if got is None:
+                    got = child[k] = nodes
+                    nodes += 1
+                node = got
+            self.ends[node] = i
+        self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
         self._made: dict[int, tuple[int, int]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # A state: the last settled token (-1 at the start) and, for each open place, the bytes since it and the
+        # A state: the last settled token (-1 at the start) and, for each open place, the node of the bytes since it and the
         # unsettled tokens before it; the place with no bytes since is the end of the text so far.
-        start = (-1, ((b"", ()),))
+        start = (-1, (0,), ((),))
         self.number = {start: 0}
         self.states = [start]
-        self.step: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        # State and byte -> next state and the tokens that are settled.
+        self.step: dict[int, tuple[int, tuple[int, ...]]] = {}
 
     def merge(self, data: bytes, below: int = 1 << 62) -> list[int]:
         """Encoding by the definition: join the pair of lowest rank until none (of a rank under ``below``) joins. For short inputs."""
@@ -86,9 +101,12 @@ class Transducer:
         Two tokens stay apart if no join across their border comes before the joins that made them. The joins of either are undone,
         the latest first, and the border is tried between what is left.
         """
-        known = self._fits.get((left, right))
+        key = (left + 1) << 32 | right
+        known = self._fits.get(key)
         if known is None:
-            known = self._fits[left, right] = self._apart(left, right)
+            if len(self._fits) >= KEPT_FITS:
+                self._fits.clear()
+            known = self._fits[key] = self._apart(left, right)
         return known
 
     def _parts(self, t: int) -> tuple[int, int]:
@@ -130,23 +148,22 @@ class Transducer:
                         return True
 
     def _follow(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        settled, places = self.states[state]
-        b = bytes([byte])
+        settled, nodes, befores = self.states[state]
         now, chains, end = [], [], None
-        known, get, fits = self.open, self.ranks.get, self._fits
-        for since, before in places:  # the longest open piece first
-            piece = since + b
-            if piece in known:
-                now.append(piece)
+        child, ends, fits = self.child.get, self.ends.get, self._fits.get
+        for node, before in zip(nodes, befores):  # the longest open piece first
+            node = child(node << 8 | byte)
+            if node is not None:
+                now.append(node)
                 chains.append(before)
-                if end is None and (t := get(piece)) is not None:
+                if end is None and (t := ends(node)) is not None:
                     left = before[-1] if before else settled
-                    ok = fits.get((left, t))
+                    ok = fits((left + 1) << 32 | t)
                     if self.fits(left, t) if ok is None else ok:
                         end = before + (t,)
         if end is None:
             raise ValueError("the vocabulary lacks a single byte")
-        now.append(b"")
+        now.append(0)
         chains.append(end)
         common, size = 0, len(chains)
         for x in zip(*chains):
@@ -156,8 +173,8 @@ class Transducer:
         out = end[:common]
         if common:
             chains = [x[common:] for x in chains]
-        n = self._place((out[-1] if common else settled, tuple(zip(now, chains))))
-        self.step[state][byte] = (n, out)
+        n = self._place((out[-1] if common else settled, tuple(now), tuple(chains)))
+        self.step[state << 8 | byte] = (n, out)
         return n, out
 
     def _place(self, key: tuple) -> int:
@@ -165,7 +182,6 @@ class Transducer:
         if n is None:
             n = self.number[key] = len(self.states)
             self.states.append(key)
-            self.step.append({})
         return n
 
     def encode(self, data: bytes) -> list[int]:
@@ -173,7 +189,7 @@ class Transducer:
         out: list[int] = []
         state, step = 0, self.step
         for byte in data:
-            known = step[state].get(byte)
+            known = step.get(state << 8 | byte)
             if known is None:
                 if len(self.states) > KEPT_STATES:
                     here = self.states[state]
@@ -183,7 +199,7 @@ class Transducer:
             state, emitted = known
             if emitted:
                 out.extend(emitted)
-        out.extend(self.states[state][1][-1][1])
+        out.extend(self.states[state][2][-1])
         return out
 
 
@@ -262,6 +278,18 @@ def decode_stream(ids: Iterable[int], token: dict[int, bytes]) -> Iterator[str]:
         yield rest
 
 
+_encoders: dict[tuple[str, str], Encoder] = {}
+
+
+def shared_encoder(data: bytes, pattern: str) -> Encoder:
+    """The encoder of this worker process for a vocabulary and pattern; it keeps from task to task what it has learnt. One is kept."""
+    key = hashlib.sha256(data).hexdigest(), pattern
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(read_ranks(data), pattern)
+    return _encoders[key]
+
+
 def _load(spark: SparkSession, path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -282,7 +310,7 @@ def encode_texts(df: DataFrame, text: str = "text", out: str = "ids", ranks_path
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_ranks(data.value), pattern)
+        encoder = shared_encoder(data.value, pattern)
         collects = gc.isenabled()
         gc.disable()  # hundreds of thousands of states, none in a cycle, would be looked at again and again
         try:
