@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -17,7 +18,7 @@ def find(spark, docs, items=None, **kw):
     d = spark.createDataFrame(docs, "doc_id int, text string, item_id string")
     i = spark.createDataFrame(list((items or ITEM).items()), "item_id int, text string")
     out = leaks.find_leaks(d, i, **kw)
-    assert out.columns[:2] == ["doc_id", "_item_id" if False else out.columns[1]]
+    assert out.columns == ["doc_id", "item_id", "covered", "same"]
     return {(r[0], r[1]) for r in out.collect()}
 
 
@@ -59,6 +60,64 @@ def test_hot_passage(spark):
     assert find(spark, d) == {(i, 1) for i in range(0, 60, 3)}
 
 
+def test_planted_passages_are_found(spark):
+    rnd = random.Random(8)
+    common = ["the", "of", "was", "and", "offer", "lot", "notice", "office", "price", "to", "on"]
+    word = lambda: rnd.choice(common) if rnd.random() < 0.45 else "".join(rnd.choice("bdfgklmnprst") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4)))
+    items = {i: [word() for _ in range(rnd.randint(25, 60))] for i in range(60)}
+    want, rows = set(), []
+    for d in range(600):
+        body = [word() for _ in range(rnd.randint(30, 200))]
+        if d % 2 == 0:
+            i = rnd.randrange(60)
+            w = items[i]
+            n = rnd.randint(int(len(w) * 0.6), len(w))
+            a = rnd.randint(0, len(w) - n)
+            part = [word() if rnd.random() < 0.06 else x.upper() for x in w[a : a + n] if rnd.random() > 0.03]
+            body[10:10] = part
+            want.add((d, i))
+        elif d % 4 == 1:  # a fifth of a passage is no case
+            w = items[rnd.randrange(60)]
+            body[10:10] = w[: len(w) // 5]
+        rows.append((d, ", ".join(body), None))
+    for block in (leaks.BLOCK_BYTES, 3000):
+        got = find(spark, rows, {i: " ".join(w) for i, w in items.items()}, block_bytes=block)
+        assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.99 * len(got)
+
+
+def test_rarity_does_not_depend_on_the_number_of_passages(spark):
+    more = ITEM | {100 + i: f"Passage {i} about nothing{i} of the kind{i} that item{i} knows{i} well{i}" for i in range(400)}
+    assert find(spark, docs(), more) == WANT
+
+
+def test_long_repeating_document_needs_little_memory():
+    rnd = np.random.default_rng(3)
+    item, weight = rnd.integers(1, 60, 200), rnd.choice([1.0, 0.4, 0.2], 200)
+    doc = np.tile(np.concatenate([item[:8], np.zeros(2, np.int64)]), 100_000)
+    doc[500_000:500_200] = item
+    tracemalloc.start()
+    score, i0, i1, j0, j1, matched = leaks.align(item, weight, doc)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+    assert matched.all() and (i0, i1) == (0, 200) and j1 == 500_200 and abs(score - weight.sum()) < 1e-6
+
+
+def test_nothing_that_could_be_found_is_passed_over():
+    rnd = random.Random(4)
+    for _ in range(300):
+        rows = [([k], [f"w{rnd.randint(0, 30)}" for _ in range(rnd.randint(1, 30))]) for k in range(3)]
+        count = lambda xs: {x: sum(x in set(y) for y in xs) for y in xs for x in y}
+        grams = [[" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or [" ".join(w)] for _, w in rows]
+        p = leaks._Passages(rows, count([w for _, w in rows]), count(grams))
+        part = np.array([rnd.randint(0, len(p.number)) for _ in range(rnd.randint(1, 60))])
+        for k in range(3):
+            _, i0, i1, _, _, matched = leaks.align(p.words[k], p.weight[k], part)
+            telling = p.telling[k][i0:i1]
+            if i1 > i0 and p.length[k][i0:i1].sum() >= 0.48 * p.length[k].sum() and telling[matched[i0:i1]].sum() >= 0.65 * telling.sum():
+                assert p._may_hold(k, part, 0.48, 0.65)
+
+
 def test_empty(spark):
     d = spark.createDataFrame([(1, ITEM[1])], "doc_id int, text string")
     i = spark.createDataFrame([(1, ITEM[1])], "item_id int, text string")
@@ -81,6 +140,8 @@ def test_alignment_against_brute_force():
         a = np.array([rnd.randint(1, 5) for _ in range(rnd.randint(1, 12))])
         b = np.array([rnd.randint(0, 5) for _ in range(rnd.randint(1, 15))])
         w = np.array([rnd.choice([1.0, 0.4, 0.2]) for _ in a])
+        if rnd.random() < 0.3:
+            b = np.concatenate([np.zeros(90, np.int64), b, np.zeros(5, np.int64)])  # longer than an alignment can reach
         got, i0, i1, j0, j1, matched = leaks.align(a, w, b)
         assert abs(got - slow_align(a, w, b)) < 1e-9
         assert 0 <= i0 <= i1 <= len(a) and 0 <= j0 <= j1 <= len(b) and not matched[:i0].any() and not matched[i1:].any()
