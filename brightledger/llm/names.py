@@ -3,8 +3,8 @@
 A name is read into a kind (the sorted words that say what it is: "state university", "auto parts center", "person") and
 a core (what sets it apart). Names of one kind form a metric space under the edit distance of their cores. It is
 partitioned by pivots: a core goes to the cells of its distances from a few pivots, and those near a cell's edge also to the
-next cell, as far as the triangle inequality lets a partner within the radius lie there. Each cell is joined exactly; further
-pivots discard pairs before the distance itself is computed. Links then need evidence that one side is a misspelling
+next cell, as far as the triangle inequality lets a partner within the radius lie there. Each cell is joined exactly: all pairs of a small one, in a larger
+one those that share one of the segments that so few edits cannot all touch. Further pivots discard pairs before the distance itself is computed. Links then need evidence that one side is a misspelling
 and not another name: its differing word is not used by other names. All links that have it hold together, except where they would join keys that exclude each other.
 """
 
@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -233,8 +233,10 @@ RADIUS = 2
 #: Width of a cell along one pivot's distance, pivots that make cells (the empty name, whose distance is the length, is one more), and pivots that only filter.
 WIDTH, CELL_PIVOTS, FILTER_PIVOTS = 5, 2, 6
 PIVOT_LETTERS = 64
-#: Points of a cell that one task joins with its visitors; larger cells are split.
+#: Points of a bucket (a small cell, or one segment of a larger one) that one task joins with its visitors; larger ones are split.
 CELL_POINTS = 4000
+#: Points from which on a cell is joined by segments.
+SMALL_CELL = 256
 
 
 def read_names(names: DataFrame) -> DataFrame:
@@ -279,31 +281,82 @@ def choose_pivots(points: DataFrame, n: int, sample: int = 96) -> list[str]:
     return chosen
 
 
-def radius_join(points: DataFrame, block: list[str], point: str, radius: int = RADIUS, width: int = WIDTH, cell_points: int = CELL_POINTS) -> DataFrame:
-    """Pairs of ``points`` (columns ``block``, ``point``, ``id``) of one block whose points are within ``radius``: (id_a, id_b, distance), id_a < id_b.
+def _bounds(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
+    """Begin (from 0) and width of segment ``i`` of a text of ``length`` cut evenly in ``parts``."""
+    at = F.floor(i * length / parts).cast("int")
+    return at, F.floor((i + 1) * length / parts).cast("int") - at
 
-    Exact: every such pair is found. A point is at home in the cell of its pivot distances and visits the cells in which
-    a partner's distances may lie (each differs by ``radius`` at most).
+
+def segments(point: Column, radius: int) -> Column:
+    """(size, i, text) of each of the radius + 1 segments of a point."""
+    n = F.length(point)
+
+    def one(i: Column) -> Column:
+        at, width = _bounds(n, i, radius + 1)
+        return F.struct(n.alias("size"), i.alias("i"), F.substr(point, at + 1, width).alias("text"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(radius)), one)
+
+
+def probes(point: Column, radius: int) -> Column:
+    """(size, i, text) of the places of a point where an untouched segment of a partner of each possible size may lie.
+
+    Of a pair within ``radius`` one segment is untouched. If it lies d places later in the point, whose length exceeds the partner's by D, its left side
+    took |d| edits at least and its right side |D - d|, so the two add up to ``radius`` at most.
     """
-    pts = points.withColumnRenamed(point, "point") if point != "point" else points
-    pivots = choose_pivots(pts, CELL_PIVOTS + FILTER_PIVOTS)
-    dist = pts.withColumn("d", F.array(F.length("point"), *[F.levenshtein("point", F.lit(p)) for p in pivots]))
+    n = F.length(point)
+
+    def size(m: Column) -> Column:
+        over = n - m
+        first, last = F.ceil((over - radius) / 2).cast("int"), F.floor((over + radius) / 2).cast("int")
+
+        def segment(i: Column) -> Column:
+            at, width = _bounds(m, i, radius + 1)
+            there = F.transform(F.sequence(first, last), lambda d: F.struct(m.alias("size"), i.alias("i"), (at + d).alias("at"), width.alias("width")))
+            there = F.filter(there, lambda x: (x["at"] >= 0) & (x["at"] + x["width"] <= n))
+            return F.transform(there, lambda x: F.struct(x["size"], x["i"], F.substr(point, x["at"] + 1, x["width"]).alias("text")))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(radius)), segment))
+
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.greatest(n - radius, F.lit(0)), n + radius), size)))
+
+
+def candidates(points: DataFrame, block: list[str], radius: int = RADIUS, width: int = WIDTH, cell_points: int = CELL_POINTS, small: int = SMALL_CELL) -> tuple[DataFrame, int]:
+    """Pairs of ``points`` (columns ``block``, ``point``, ``id``) that meet in a bucket, with their pivot distances (da, db), and the number of pivots."""
+    pivots = choose_pivots(points, CELL_PIVOTS + FILTER_PIVOTS)
+    dist = points.withColumn("d", F.array(F.length("point"), *[F.levenshtein("point", F.lit(p)) for p in pivots]))
     dims = min(1 + CELL_PIVOTS, 1 + len(pivots))
     home = dist.withColumn("cell", F.array(*[F.floor(F.col("d")[i] / width) for i in range(dims)]))
-    sizes = home.groupBy(*block, "cell").agg(F.count("*").alias("n"))
-    parts = sizes.select(*block, "cell", F.ceil(F.col("n") / cell_points).cast("int").alias("parts"))
-    home = home.join(parts, [*block, "cell"]).withColumn("part", F.pmod(F.xxhash64("id", "point"), F.col("parts")).cast("int"))
+    cells = written(home.groupBy(*block, "cell").agg((F.count("*") > small).alias("big")), "cells")
+    whole = F.array(F.struct(F.lit(-1).alias("size"), F.lit(0).alias("i"), F.lit("").alias("text")))
+    bucket = lambda df, of: df.withColumn("b", F.explode(F.when(F.col("big"), of(F.col("point"), radius)).otherwise(whole))).select("*", "b.*").drop("b", "big")
+    keys = [*block, "cell", "size", "i", "text"]
+    home = bucket(home.join(cells, [*block, "cell"]), segments)
+    parts = home.groupBy(*keys).agg(F.ceil(F.count("*") / cell_points).cast("int").alias("parts")).filter("parts > 1")
+    home = home.join(parts, keys, "left").withColumn("part", F.pmod(F.xxhash64("id", "point"), F.coalesce("parts", F.lit(1))).cast("int"))
     visit = dist
     for i in range(dims):
         visit = visit.withColumn(f"c{i}", F.explode(F.sequence(F.floor((F.col("d")[i] - radius) / width), F.floor((F.col("d")[i] + radius) / width))))
-    visit = visit.withColumn("cell", F.array(*[f"c{i}" for i in range(dims)])).join(parts, [*block, "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    keys = [*block, "cell", "part"]
-    a = visit.select(*keys, F.col("id").alias("id_a"), F.col("point").alias("pa"), F.col("d").alias("da"))
-    b = home.select(*keys, F.col("id").alias("id_b"), F.col("point").alias("pb"), F.col("d").alias("db"))
+    visit = bucket(visit.withColumn("cell", F.array(*[f"c{i}" for i in range(dims)])).join(cells, [*block, "cell"]), probes)
+    visit = visit.join(parts, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    a = visit.select(*keys, "part", F.col("id").alias("id_a"), F.col("point").alias("pa"), F.col("d").alias("da"))
+    b = home.select(*keys, "part", F.col("id").alias("id_b"), F.col("point").alias("pb"), F.col("d").alias("db"))
+    return a.join(b, [*keys, "part"]).filter(F.col("id_a") < F.col("id_b")), len(pivots)
+
+
+def radius_join(points: DataFrame, block: list[str], point: str, radius: int = RADIUS, width: int = WIDTH, cell_points: int = CELL_POINTS, small: int = SMALL_CELL) -> DataFrame:
+    """Pairs of ``points`` (columns ``block``, ``point``, ``id``) of one block whose points are within ``radius``: (id_a, id_b, distance), id_a < id_b.
+
+    Exact: every such pair is found. A point is at home in the cell of its pivot distances and visits the cells in which
+    a partner's distances may lie (each differs by ``radius`` at most). Cells of over ``small`` points are joined by segments, so pairs looked at grow with
+    the points that share one, not with the square of the cell.
+    """
+    pts = points.withColumnRenamed(point, "point") if point != "point" else points
+    met, pivots = candidates(pts, block, radius, width, cell_points, small)
     near = F.lit(True)
-    for i in range(1 + len(pivots)):
+    for i in range(1 + pivots):
         near = near & (F.abs(F.col("da")[i] - F.col("db")[i]) <= radius)
-    pairs = a.join(b, keys).filter(F.col("id_a") < F.col("id_b")).filter(near).withColumn("distance", F.levenshtein("pa", "pb", radius)).filter(F.col("distance") >= 0)
+    pairs = met.filter(near).withColumn("distance", F.levenshtein("pa", "pb", radius)).filter(F.col("distance") >= 0)
     return pairs.groupBy("id_a", "id_b").agg(F.min("distance").alias("distance"))
 
 
@@ -481,12 +534,21 @@ def link_names(names: DataFrame) -> DataFrame:
     return found.select("field", "name", F.coalesce("entity", "id").alias("entity"))
 
 
+#: Spellings of one entity that one task pairs with all its others.
+ENTITY_POINTS = 2000
+
+
 def spelling_pairs(names: DataFrame) -> DataFrame:
-    """(field, name_a, name_b), name_a < name_b: each pair of different spellings in ``names`` (field, name) of one entity."""
+    """(field, name_a, name_b), name_a < name_b: each pair of different spellings in ``names`` (field, name) of one entity.
+
+    ``link_names`` gives the same as membership, in one row a name. Entities of very many spellings are spread over several tasks.
+    """
     linked = written(link_names(names), "linked")
-    a = linked.select("field", "entity", F.col("name").alias("name_a"))
-    b = linked.select("field", "entity", F.col("name").alias("name_b"))
-    return a.join(b, ["field", "entity"]).filter(F.col("name_a") < F.col("name_b")).select("field", "name_a", "name_b")
+    parts = linked.groupBy("field", "entity").agg(F.ceil(F.count("*") / ENTITY_POINTS).cast("int").alias("parts")).filter("parts > 1")
+    linked = linked.join(F.broadcast(parts) if parts.limit(10_001).count() <= 10_000 else parts, ["field", "entity"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    a = linked.select("field", "entity", F.col("name").alias("name_a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    b = linked.select("field", "entity", F.col("name").alias("name_b"), F.pmod(F.xxhash64("name"), F.col("parts")).cast("int").alias("part"))
+    return a.join(b, ["field", "entity", "part"]).filter(F.col("name_a") < F.col("name_b")).select("field", "name_a", "name_b")
 
 
 def stacked(df: DataFrame, columns: list[str]) -> DataFrame:

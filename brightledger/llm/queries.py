@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brightledger.llm.canon import map_values
 from brightledger.llm.dupes import find_copies, keyed, keyed_lines
 from brightledger.llm.leaks import find_leaks
-from brightledger.llm.names import spelling_pairs, stacked
+from brightledger.llm.names import link_names, spelling_pairs, stacked
 from brightledger.llm.sentences import split_sentences
 from brightledger.llm.tokens import encode_texts
 from brightledger.plans.core_queries import area_values
@@ -35,6 +35,10 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_pairs(stacked(table(spark, folder, "raw_awards"), ["awardee_name", "organization_name"])).withColumnRenamed("field", "field_name")
 
 
+def p6_entities(spark: SparkSession, folder: str) -> DataFrame:
+    return link_names(stacked(table(spark, folder, "raw_awards"), ["awardee_name", "organization_name"])).withColumnRenamed("field", "field_name")
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_texts(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
@@ -47,7 +51,7 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return split_sentences(table(spark, folder, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_entities": p6_entities, "p7_ids": p7_ids, "p8_found": p8_found, "p9_found": p9_found}
 
 def _part(label: str) -> str:
     """SQL of the value of ``label`` in a line of text; quotes and signs around it do not matter to the comparison."""

@@ -95,14 +95,14 @@ def lev(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("cell_points", [4000, 3])
-def test_radius_join_against_brute_force(spark, cell_points):
+@pytest.mark.parametrize(("cell_points", "small"), [(4000, 256), (3, 256), (4000, 0), (2, 4)])
+def test_radius_join_against_brute_force(spark, cell_points, small):
     rnd = random.Random(8)
     base = ["".join(rnd.choice("abk") + rnd.choice("aeo") for _ in range(rnd.randint(1, 7))) for _ in range(60)]
     pts = list(dict.fromkeys(base + [b[:k] + rnd.choice("xyz") + b[k + 1 :] for b in base for k in [rnd.randrange(len(b))]] + [""]))
     data = [(rnd.choice("pq"), p, f"{i:03d}") for i, p in enumerate(pts)]
     df = spark.createDataFrame(data, "g string, point string, id string")
-    got = {(r.id_a, r.id_b): r.distance for r in names.radius_join(df, ["g"], "point", cell_points=cell_points).collect()}
+    got = {(r.id_a, r.id_b): r.distance for r in names.radius_join(df, ["g"], "point", cell_points=cell_points, small=small).collect()}
     want = {(i, j): lev(p, q) for (g, p, i), (h, q, j) in itertools.permutations(data, 2) if g == h and i < j and lev(p, q) <= names.RADIUS}
     assert got == want
 
@@ -133,3 +133,46 @@ def test_edit_is_damerau_levenshtein():
         a, b = ("".join(rnd.choice("abc") for _ in range(rnd.randint(0, 3))) for _ in range(2))
         assert names.edit(a, b, 9) == slow_edit(a, b), (a, b)
         assert names.edit(a, b, 1) == min(2, slow_edit(a, b))
+
+
+def planted(seed=5, firms=150):
+    """Names whose kind words are on no list, with typed variants; (rows, pairs that name the same)."""
+    rnd = random.Random(seed)
+    kinds = ["Bakery", "Clinic", "Laundry", "Pawnshop", "Quarry Works Yard", "Bookbinders", "Ice Plant", "Tannery"]
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    word = lambda: "".join(rnd.choice(syllables) for _ in range(rnd.randint(3, 5)))
+    rows, groups = set(), []
+    for _ in range(firms):
+        own, kind = [word(), word()], rnd.choice(kinds).split()
+        forms = set()
+
+        def typed(words, forms=forms):
+            s = " ".join(words)
+            forms.add(rnd.choice([s, s.upper(), s.title(), s + " Inc.", s + ", Incorporated", s.replace(" ", "  ", 1), s + " Co., Ltd."]))
+
+        for _ in range(4):
+            typed(own + kind)
+        for k in range(2):
+            w = list(own)
+            x = w[k]
+            i = rnd.randrange(1, len(x) - 1)
+            w[k] = rnd.choice([x[:i] + x[i + 1 :], x[:i] + x[i] + x[i:], x[:i] + x[i + 1] + x[i] + x[i + 2 :], x[:i] + "x" + x[i + 1 :]])
+            typed(w + kind)
+        groups.append(forms)
+        rows |= forms
+    return sorted(rows), {tuple(sorted(p)) for g in groups for p in itertools.combinations(g, 2)}
+
+
+def test_kind_words_outside_the_lists(spark):
+    rows, want = planted()
+    df = spark.createDataFrame([("f", n) for n in rows], "field string, name string")
+    got = {tuple(sorted((r.name_a, r.name_b))) for r in names.spelling_pairs(df).collect()}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.98 * len(got), (len(want), len(got), len(got & want))
+
+
+def test_hot_entity_is_split(spark, monkeypatch):
+    rows = [("f", "Tabodaki" + " " * k + "Trading" + "." * j) for k in range(1, 8) for j in range(6)]
+    df = spark.createDataFrame(rows, "field string, name string")
+    monkeypatch.setattr(names, "ENTITY_POINTS", 5)
+    got = [(r.name_a, r.name_b) for r in names.spelling_pairs(df).collect()]
+    assert len(got) == len(set(got)) == 42 * 41 // 2
