@@ -2,7 +2,7 @@ import pytest
 
 from brightledger.llm import queries
 
-COLUMNS = {"p2_found": ["id", "canonical"], "p3_found": ["keep_id", "copy_id"], "p6_found": ["field_name", "name_a", "name_b"], "p7_ids": ["doc_id", "ids"], "p8_found": ["doc_id", "item_id"], "p9_found": ["doc_id", "begin_pos", "end_pos"]}
+COLUMNS = {"p2_found": ["id", "canonical"], "p3_found": ["keep_id", "copy_id"], "p6_entities": ["field_name", "name", "entity"], "p6_found": ["field_name", "name_a", "name_b"], "p7_ids": ["doc_id", "ids"], "p8_found": ["doc_id", "item_id"], "p9_found": ["doc_id", "begin_pos", "end_pos"]}
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
