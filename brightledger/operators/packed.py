@@ -1,7 +1,9 @@
 """Several values packed in one field: one row per value, with its position.
 
-Which signs part values is inferred for each source. A candidate sign scores by how regular the pieces on its two sides
-are (are they of the type the field's values have?) and by how consistently it is so from record to record; signs that
+Which signs part values is inferred for each source. A candidate sign scores by how regular the types of the pieces on its two sides
+are, and by how consistent the counts of pieces are from record to record. A piece is of the type of a value if it is one that stands alone in other
+records (or on a list of values, if there is one); where the column's values hardly recur, types are shapes (words, letter case,
+digits), and a sign is regular as far as the pieces beside it are of one shape. Signs that
 occur within values, such as a hyphen in a name, fall through. Splitting then honours quotes, list numbers and listed
 names that hold a sign.
 """
@@ -10,10 +12,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +47,22 @@ _QUOTES = {'"': '"', "“": "”", "'": "'", "‘": "’", "«": "»", "„": "
 _NUMBER = re.compile(r"(?:(?<=\s)|(?<=[;,|/])|^)\(?\d{1,3}[.)](?=\s)")
 _NOT_GIVEN = re.compile(r"\b[nN]/[aA]\b")
 
+# Signs that part values in most writing; beside the others, one shape of pieces shows nothing, as words of one name have one shape too.
+PARTING = frozenset("newline tab semicolon pipe comma slash ampersand plus".split())
+_WHOLE = r"[\r\n\t;|,/&+]"
+
 #: Observations of the pooled score that a source's own score is mixed with.
 PRIOR = 50
 #: Letters of packed fields that one output batch repeats.
 OUT_LETTERS = 50_000_000
 #: A sign is taken from this score on.
 LEAST = 0.35
+#: Recurring values of the column, and counters of the sketch that finds them; listed values that score signs (all of them are honoured in splitting).
+STANDING, TRACKED, LISTED = 10_000, 65_536, 200_000
+#: Bytes of listed names with signs in one broadcast; more of them take further passes over the rows, each narrow.
+HELD_BYTES = 16 << 20
+#: Listed names with signs up to which they are one pattern; more are looked up by their first letters.
+PATTERN_NAMES = 300
 
 
 def type_key(piece: str) -> str:
@@ -58,8 +70,51 @@ def type_key(piece: str) -> str:
     return re.sub(r"[\W_]+", "", plain(piece))
 
 
-def _mask(text: str, held: re.Pattern | None) -> str:
-    """``text`` with quoted parts, held names and list numbers replaced by NUL (same length)."""
+def shape(piece: str) -> str:
+    """Type of a piece by its look: number of words (about), letter case and digits."""
+    words = piece.split()
+    letters = [c for c in piece if c.isalpha()]
+    case = "none" if not letters else "upper" if piece.isupper() else "lower" if piece.islower() else "title" if all(w[0].isupper() or not w[0].isalpha() for w in words) else "mixed"
+    digits = sum(c.isdigit() for c in piece)
+    return f"{min(len(words), 3) if len(words) < 6 else 6} {case} {'digits' if digits * 2 > len(piece) else 'some' if digits else ''}"
+
+
+class Held:
+    """Listed names that hold a candidate sign, to be found in texts whatever their letter case."""
+
+    def __init__(self, names: list[str]):
+        names = sorted({x for x in names if has_sign(x)}, key=lambda x: (-len(x), x))
+        self.pattern = re.compile(r"(?<!\w)(?=((?:" + "|".join(map(re.escape, names)) + r")(?!\w)))", re.IGNORECASE) if 0 < len(names) <= PATTERN_NAMES else None
+        self.by: dict[str, list[str]] = {}
+        if self.pattern is None:
+            for x in names:
+                self.by.setdefault(x[:3].lower(), []).append(x.lower())
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        """The longest name at each place of ``text`` where one begins."""
+        if self.pattern is not None:
+            return [(m.start(), m.end(1)) for m in self.pattern.finditer(text)]
+        out = []
+        low = text.lower()
+        if not self.by or len(low) != len(text):  # letters that change length when lowered are in no listed name's reach
+            return out
+        word = False
+        for i, c in enumerate(low):
+            if not word and (names := self.by.get(low[i : i + 3])):
+                for x in names:
+                    if low.startswith(x, i) and not (i + len(x) < len(low) and (low[i + len(x)].isalnum() or low[i + len(x)] == "_")):
+                        out.append((i, i + len(x)))
+                        break
+            word = c.isalnum() or c == "_"
+        return out
+
+
+def has_sign(name: str) -> bool:
+    return any(_PATTERN[k].search(name) for k in CANDIDATES if k not in ("blank", "stop"))
+
+
+def _mask(text: str) -> str:
+    """``text`` with quoted parts and words for no value replaced by NUL (same length)."""
     out = list(text)
 
     def blot(a: int, b: int) -> None:
@@ -86,20 +141,30 @@ def _mask(text: str, held: re.Pattern | None) -> str:
         elif not c.isspace():
             fresh = c in ";,|/&+-–—)." or (c in "dt" and re.search(r"(?:^|[\s,;])(?:and|at)$", text[max(0, i - 4) : i + 1]) is not None)
         i += 1
-    masked = "".join(out)
-    for m in _NOT_GIVEN.finditer(masked):
+    for m in _NOT_GIVEN.finditer("".join(out)):
         blot(*m.span())
-    if held is not None:
-        for m in held.finditer(masked):
-            blot(*m.span())
     return "".join(out)
 
 
-def split_value(text: str | None, signs: frozenset[str] | set[str], held: re.Pattern | None = None) -> list[str]:
-    """The values of ``text`` in order, without signs, list numbers, surrounding quotes and outer blanks; no empty ones."""
+def _hold(masked: str, spans: list[tuple[int, int]]) -> str:
+    """``masked`` with held names blotted out too: the leftmost first, of one place the longest."""
+    at, parts, last = 0, [], 0
+    for a, b in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if a >= last:
+            parts += [masked[at:a], "\0" * (b - a)]
+            at = last = b
+    return "".join([*parts, masked[at:]]) if parts else masked
+
+
+def split_value(text: str | None, signs: frozenset[str] | set[str], held: Held | None = None, spans: list[tuple[int, int]] | None = None) -> list[str]:
+    """The values of ``text`` in order, without signs, list numbers, surrounding quotes and outer blanks; no empty ones.
+
+    ``spans``: where further held names are.
+    """
     if text is None or not text.strip():
         return []
-    masked = _mask(text, held)
+    masked = _mask(text)
+    masked = _hold(masked, [*(spans or ()), *(held.spans(masked) if held else ())])
     cuts = [m.span() for m in _NUMBER.finditer(masked)]
     for s in signs:
         cuts.extend(m.span() for m in _PATTERN[s].finditer(masked))
@@ -116,26 +181,63 @@ def split_value(text: str | None, signs: frozenset[str] | set[str], held: re.Pat
     return out
 
 
-def held_names(listed: list[str]) -> re.Pattern | None:
-    """Pattern of the listed names that hold a candidate sign."""
-    names = [re.escape(x) for x in listed if any(_PATTERN[k].search(x) for k in CANDIDATES if k not in ("blank", "stop"))]
-    return re.compile(r"(?<!\w)(?:" + "|".join(sorted(names, key=len, reverse=True)) + r")(?!\w)", re.IGNORECASE) if names else None
+def pairs(places: list[int] | None) -> list[tuple[int, int]]:
+    return list(zip(places[::2], places[1::2])) if places else []
 
 
-def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str]) -> tuple[DataFrame, dict[str, float]]:
+def held_blocks(listed: DataFrame | list[str] | None) -> tuple[list[Held], list[str]]:
+    """The listed names with signs in blocks of ``HELD_BYTES``, and up to ``LISTED`` listed values (in order of their hash) that score signs."""
+    if listed is None or isinstance(listed, list):
+        return [Held(listed or [])], listed or []
+    names = listed.select(F.col(listed.columns[0]).cast("string").alias("x")).filter(F.col("x").isNotNull()).distinct()
+    some = [r.x for r in names.orderBy(F.xxhash64("x"), "x").limit(LISTED).collect()]
+    signed = names.filter(F.col("x").rlike(r"[^\p{L}\p{N} ]|(?i)\b(?:and|at)\b"))
+    blocks, block, size = [], [], 0
+    for r in signed.toLocalIterator():
+        if has_sign(r.x):
+            block.append(r.x)
+            size += len(r.x.encode())
+            if size > HELD_BYTES:
+                blocks.append(Held(block))
+                block, size = [], 0
+    if block or not blocks:
+        blocks.append(Held(block))
+    return blocks, some
+
+
+def standing_values(df: DataFrame, column: str) -> tuple[dict[str, int], int]:
+    """Values that recur as whole fields without a parting sign, with their counts, and the number of such fields.
+
+    The most frequent ``STANDING`` at most come to the driver, from a mergeable sketch over all rows.
+    """
+    v = F.trim(F.col(column).cast("string"))
+    whole = df.filter((F.length(v) > 0) & ~F.col(column).cast("string").rlike(_WHOLE)).select(v.alias("v"))
+    found = whole.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(v, {STANDING}, {TRACKED})").alias("top")).first()
+    least = 2 + 4 * found.n / TRACKED
+    return {x["item"]: x["count"] for x in (found.top or []) if x["item"] is not None and x["count"] >= least}, found.n
+
+
+def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str] | None = None, held: Held | None = None, places: str | None = None) -> tuple[DataFrame, dict[str, float]]:
     """(source, signs) of each source, and the pooled score of each sign.
 
-    ``listed`` are known values (their types); ``source`` names the column that tells sources apart (null is a source).
-    Counts are taken over all records.
+    ``listed`` are known values, if any; ``source`` names the column that tells sources apart (null is a source); ``places`` that of where further held names are.
+    A sign's score is the regularity of the pieces beside it, lowered where that differs between records of other piece counts, times the consistency of
+    piece counts (1 / (1 + the square of their logarithm's mean deviation), which one long field does not spoil); a source's own score is mixed with the pooled one of all sources. A side is regular if its piece is a
+    standing or listed value. Of other sides, beside a parting sign, as many count as two of the sign's sides are alike in shape, less the share of
+    whole fields that standing and listed values explain: where values recur, a piece that never does is none. Counts are taken over all records.
     """
-    types = frozenset(type_key(x) for x in listed) - {""}
-    src = df.select((F.col(source) if source else F.lit(None)).cast("string").alias("source"), F.col(column).cast("string").alias("v"))
-    out = T.StructType([T.StructField("source", T.StringType()), T.StructField("sign", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("regular", T.LongType())])
-    held = held_names(listed)
-
-    def observed(v: str) -> list[tuple[str, int, int, int]]:
-        """(sign, pieces, observations, regular sides) of one field."""
-        masked = _mask(v, held)
+    listed = listed or []
+    standing, whole = standing_values(df, column)
+    types = (frozenset(type_key(x) for x in listed) | frozenset(map(type_key, standing))) - {""}
+    covered = min(1.0, sum(n for x, n in standing.items() if type_key(x) in types) / whole) if whole else 0.0
+    src = df.select((F.col(source) if source else F.lit(None)).cast("string").alias("source"), F.col(column).cast("string").alias("v"), (F.col(places) if places else F.lit(None).cast("array<int>")).alias("places"))
+    out = T.StructType([T.StructField("source", T.StringType()), T.StructField("sign", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("shape", T.StringType()), T.StructField("places", T.LongType()), T.StructField("sides", T.LongType()), T.StructField("known", T.LongType())])
+    held = held or Held(listed)
+
+    def observed(v: str, places: list[int] | None) -> list[tuple[str, int, str, int, int, int]]:
+        """(sign, pieces, shape, places, sides, known sides) of one field; the places of a sign are counted with its first shape."""
+        masked = _mask(v)
+        masked = _hold(masked, [*held.spans(masked), *pairs(places)])
         numbers = [m.span() for m in _NUMBER.finditer(masked)]
         base = numbers + [m.span() for k in _BASE for m in _PATTERN[k].finditer(masked)]
         out = []
@@ -145,46 +247,64 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
                 continue
             cuts = sorted({*base, *here})
             edge = [0, *(b for _, b in cuts)], [*(a for a, _ in cuts), len(v)]
-            good = [type_key(v[a:b]) in types for a, b in zip(*edge)]
-            full = [bool(v[a:b].strip()) for a, b in zip(*edge)]
+            texts = [v[a:b].strip() for a, b in zip(*edge)]
             at = {c: i for i, c in enumerate(cuts)}
-            places = [i for i in (at[c] for c in here) if full[i] and full[i + 1]]
-            if places:
-                out.append((k, len(here) + 1, len(places), sum(good[i] + good[i + 1] for i in places)))
+            parted = [i for i in (at[c] for c in here) if texts[i] and texts[i + 1]]
+            if parted:
+                sides, known = Counter(), Counter()
+                good: dict[str, bool] = {}
+                for i in parted:
+                    for x in (texts[i], texts[i + 1]):
+                        if x not in good:
+                            good[x] = type_key(x) in types
+                        s = shape(x)
+                        sides[s] += 1
+                        known[s] += good[x]
+                out.extend((k, len(here) + 1, s, len(parted) if i == 0 else 0, n, known[s]) for i, (s, n) in enumerate(sides.items()))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[tuple[str, int, int, int]]] = {}
+        seen: dict[str, list[tuple]] = {}
         for batch in batches:
-            n, regular = Counter(), Counter()
-            for s, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            total: dict[tuple, list[int]] = {}
+            for s, v, places in zip(*(c.to_pylist() for c in batch.columns)):
                 if v is None or not v.strip():
                     continue
                 got = seen.get(v)
                 if got is None:
-                    got = observed(v)
+                    got = observed(v, places)
                     if len(v) <= 1000:
                         if len(seen) > 50_000:
                             seen.clear()
                         seen[v] = got
-                for k, pieces, m, r in got:
-                    n[s, k, pieces] += m
-                    regular[s, k, pieces] += r
-            keys = list(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.int32()), pa.array([n[k] for k in keys], pa.int64()), pa.array([regular[k] for k in keys], pa.int64())],
-                names=out.names,
-            )
-
-    counts = written(spread(src).mapInArrow(run, out).groupBy("source", "sign", "pieces").agg(F.sum("n").alias("n"), F.sum("regular").alias("regular")), "signs")
-    # Regularity of the pieces, lowered where it differs between records of other piece counts.
-    each = counts.groupBy("source", "sign").agg(
-        F.sum("n").alias("n"), (F.sum("regular") / (2 * F.sum("n"))).alias("regular"),
-        (F.sum(F.col("n") * F.abs(F.col("regular") / (2 * F.col("n")))) / F.sum("n")).alias("mean"),
-        F.sum(F.col("n") * F.pow(F.col("regular") / (2 * F.col("n")), 2)).alias("square"),
+                for k, pieces, form, m, n, r in got:
+                    x = total.setdefault((s, k, pieces, form), [0, 0, 0])
+                    x[0] += m
+                    x[1] += n
+                    x[2] += r
+            rows = [(*k, *x) for k, x in total.items()]
+            kinds = pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=out.names)
+
+    counts = written(spread(src).mapInArrow(run, out).groupBy("source", "sign", "pieces", "shape").agg(*[F.sum(c).alias(c) for c in ("places", "sides", "known")]), "signs")
+    keys = ["source", "sign"]
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("sign") == F.col("k"))
+    # How alike in shape two sides of a sign are, for its unknown ones.
+    forms = counts.groupBy(*keys, "shape").agg(F.sum("sides").alias("sides"), F.sum("known").alias("known"))
+    alike = forms.groupBy(F.col("source").alias("s"), F.col("sign").alias("k")).agg((F.sum((F.col("sides") - F.col("known")) * F.col("sides")) / F.greatest(F.sum("sides") * F.sum(F.col("sides") - F.col("known")), F.lit(1))).alias("alike"))
+    by = counts.groupBy(*keys, "pieces").agg(F.sum("places").alias("n"), F.sum("sides").alias("sides"), F.sum("known").alias("known")).join(alike, same).drop("s", "k")
+    weight = F.when(F.col("sign").isin(*PARTING), F.lit(1 - covered)).otherwise(0.0)
+    by = by.withColumn("regular", (F.col("known") + weight * F.col("alike") * (F.col("sides") - F.col("known"))) / F.col("sides")).withColumn("fields", F.col("n") / F.greatest(F.col("pieces") - 1, F.lit(1)))
+    mean = lambda x, w: F.sum(F.col(w) * x) / F.sum(w)
+    log, whole_sign = F.log(F.col("pieces").cast("double")), Window.partitionBy(*keys)  # of some rows, one a count of pieces
+    by = by.withColumn("usual", F.sum(F.col("fields") * log).over(whole_sign) / F.sum("fields").over(whole_sign))
+    each = by.groupBy(*keys).agg(
+        F.sum("n").alias("n"), mean(F.col("regular"), "n").alias("regular"), mean(F.pow("regular", 2), "n").alias("square"),
+        mean(F.abs(log - F.col("usual")), "fields").alias("deviation"),
     )
-    each = each.withColumn("spread", F.sqrt(F.greatest(F.lit(0.0), F.col("square") / F.col("n") - F.col("mean") * F.col("mean"))))
-    each = each.select("source", "sign", "n", (F.col("regular") * (1 - F.col("spread"))).alias("score"))
+    scatter = F.sqrt(F.greatest(F.lit(0.0), F.col("square") - F.col("regular") * F.col("regular")))
+    consistent = 1 / (1 + F.col("deviation") * F.col("deviation"))
+    each = each.select("source", "sign", "n", (F.col("regular") * (1 - scatter) * consistent).alias("score"))
     pooled = {r.sign: r.score for r in each.groupBy("sign").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("score")).collect()}
     prior = F.create_map(*[x for k, s in pooled.items() for x in (F.lit(k), F.lit(s))]) if pooled else F.lit(None).cast("map<string,double>")
     mixed = (F.col("n") * F.col("score") + PRIOR * prior[F.col("sign")]) / (F.col("n") + PRIOR)
@@ -192,43 +312,61 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
     return signs, pooled
 
 
-def unpack(df: DataFrame, column: str, listed: list[str] | None = None, source: str | None = None, value: str = "value", pos: str = "pos", count: str = "pieces") -> DataFrame:
+def unpack(df: DataFrame, column: str, listed: DataFrame | list[str] | None = None, source: str | None = None, value: str = "value", pos: str = "pos", count: str = "pieces") -> DataFrame:
     """One row for each value of ``column``: the columns of ``df`` and ``pos`` (int, from 1), ``value``, ``pieces`` (values of the record).
 
     Signs are inferred for each ``source`` (see ``infer_signs``). Null and blank fields have no rows, nor have empty
-    places between signs. ``listed`` holds known values; without it nothing is regular and only list numbers and quotes
-    part a field. Repeated records each give their rows; columns named like the new ones stay, and the new ones get
+    places between signs. ``listed`` (a list, or a table's first column, of any size) holds known values, which are one more sign of what a value is and keep the signs
+    within them; it may be missing or empty. Repeated records each give their rows; columns named like the new ones stay, and the new ones get
     underscores. An empty table gives an empty table. Nothing is shuffled but the few counts of signs.
     """
-    listed = listed or []
-    signs, _ = infer_signs(df, column, source, listed)
+    blocks, some = held_blocks(listed)
+    at = df.columns.index(column)
     taken = list(df.columns)
     names = []
     for wanted in (pos, value, count):
         names.append(free_name([*taken, *names], wanted))
-    s, k = free_name([*taken, *names], "_signs"), free_name([*taken, *names], "_source")
+    s, k, more = (free_name([*taken, *names], x) for x in ("_signs", "_source", "_held"))
+    # Names of further blocks are looked for in passes of their own; their places go along with the row.
+    rows = df.withColumn(more, F.lit(None).cast("array<int>"))
+    wide = rows.schema
+
+    def look(block: Held) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                known = batch.column(len(batch.columns) - 1).to_pylist()
+                found = [[*(k or ()), *(x for ab in block.spans(_mask(v)) for x in ab)] if v else None for k, v in zip(known, batch.column(at).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int32()))], names=batch.schema.names)
+
+        return run
+
+    for block in blocks[1:]:
+        rows = rows.mapInArrow(look(block), wide)
+    if len(blocks) > 1:
+        rows = written(rows, "held")
+    signs, _ = infer_signs(rows, column, source, some, blocks[0], more)
     key = (F.col(source) if source else F.lit(None)).cast("string")
-    joined = spread(df).withColumn(k, F.coalesce(F.concat(F.lit("="), key), F.lit("null")))
+    joined = spread(rows).withColumn(k, F.coalesce(F.concat(F.lit("="), key), F.lit("null")))
     signs = signs.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias(k), F.col("signs").alias(s))
-    joined = joined.join(signs, k, "left").drop(k)
+    joined = joined.join(signs, k, "left").select(*rows.columns, s)
     schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.IntegerType(), False), T.StructField(names[1], T.StringType(), False), T.StructField(names[2], T.IntegerType(), False)])
-    at = df.columns.index(column)
-    held = held_names(listed)
+    held = blocks[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, list[str]] = {}
+        kept_columns = len(wide) - 1
         for batch in batches:
             rows, pos, values, counts, letters = [], [], [], [], 0
 
             def out(batch=batch) -> pa.RecordBatch:
-                kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:-1]]
-                return pa.RecordBatch.from_arrays([*kept, pa.array(pos, pa.int32()), pa.array(values, pa.string()), pa.array(counts, pa.int32())], names=[*batch.schema.names[:-1], *names])
+                kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:kept_columns]]
+                return pa.RecordBatch.from_arrays([*kept, pa.array(pos, pa.int32()), pa.array(values, pa.string()), pa.array(counts, pa.int32())], names=[*batch.schema.names[:kept_columns], *names])
 
-            for r, (v, own) in enumerate(zip(batch.column(at).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist())):
+            for r, (v, places, own) in enumerate(zip(*(batch.column(c).to_pylist() for c in (at, kept_columns, kept_columns + 1)))):
                 key = (v, tuple(own or ()))
                 got = seen.get(key)
                 if got is None:
-                    got = split_value(v, set(key[1]), held)
+                    got = split_value(v, set(key[1]), held, pairs(places))
                     if len(v or "") <= 1000:
                         if len(seen) > 50_000:
                             seen.clear()

@@ -10,22 +10,10 @@ from brightledger.operators.profile import find_issues, profile_columns
 from brightledger.operators.skew import dominant_keys, salted_aggregate
 from brightledger.session import table
 
-#: The largest reference list that is brought to the driver, in rows.
-LISTED_ROWS = 100_000
-
-
-def listed_tokens(spark: SparkSession, folder: str) -> list[str]:
-    """Tokens of the areas list; a list beyond ``LISTED_ROWS`` is refused rather than broadcast."""
-    rows = table(spark, folder, "areas").select("token").filter(F.col("token").isNotNull()).distinct().limit(LISTED_ROWS + 1).collect()
-    if len(rows) > LISTED_ROWS:
-        raise ValueError("the list of areas is too large to be broadcast")
-    return sorted(r.token for r in rows)
-
-
 def area_values(spark: SparkSession, folder: str) -> DataFrame:
     """(id, pos, area_value, pieces): each single value of area_of_delivery."""
     raw = table(spark, folder, "raw_awards").select("id", "load_id", "area_of_delivery")
-    return unpack(raw, "area_of_delivery", listed_tokens(spark, folder), "load_id", value="area_value").select("id", "pos", "area_value", "pieces")
+    return unpack(raw, "area_of_delivery", table(spark, folder, "areas").select("token"), "load_id", value="area_value").select("id", "pos", "area_value", "pieces")
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:

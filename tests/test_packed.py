@@ -1,10 +1,13 @@
+import itertools
+import random
+
 import pytest
 
 from brightledger.operators import packed
 
 LISTED = ["Alpha", "Beta Norte", "Bula-Lakan", "Oak, Elm and Ash", "(Town)", "Gamma"]
 SIGNS = {"newline", "tab", "semicolon", "pipe", "comma", "slash", "ampersand", "plus", "spaced hyphen", "and", "at"}
-HELD = packed.held_names(LISTED)
+HELD = packed.Held(LISTED)
 
 
 @pytest.mark.parametrize(
@@ -53,10 +56,64 @@ def test_unpack(spark):
     assert rows == [(1, 1, "Alpha", 2)] * 2 + [(1, 2, "Gamma", 2)] * 2 + [(2, 1, "Bula-Lakan", 1), (4, 1, "Gamma", 3), (4, 2, "Alpha", 3), (4, 3, "Bula-Lakan", 3)]
 
 
-def test_no_list_and_empty_table(spark):
-    one = packed.unpack(spark.createDataFrame([(1, "a;b")], "id int, f string"), "f")
-    assert [r.value for r in one.collect()] == ["a;b"]
+def values(df):
+    rows = sorted(df.collect(), key=lambda r: (r.id, r.pos))
+    return {i: [r.value for r in g] for i, g in itertools.groupby(rows, key=lambda r: r.id)}
+
+
+def test_signs_show_without_a_list(spark):
+    # 300 fields of words that no list holds and that never stand alone.
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(3)).title()
+    data = [(i, "WordA; OtherB; ThirdC") for i in range(300)]
+    assert all(v == ["WordA", "OtherB", "ThirdC"] for v in values(packed.unpack(spark.createDataFrame(data, "id int, f string"), "f")).values())
+    fresh = [[word() for _ in range(rnd.randint(2, 4))] for _ in range(300)]
+    for sign in ("; ", "|", " / "):
+        df = spark.createDataFrame([(i, sign.join(w)) for i, w in enumerate(fresh)], "id int, f string")
+        assert values(packed.unpack(df, "f")) == dict(enumerate(fresh))
+        assert values(packed.unpack(df, "f", ["Nothing", "Known"])) == dict(enumerate(fresh))
+
+
+def test_signs_within_names_part_nothing_without_a_list(spark):
+    rnd = random.Random(2)
+    names = [f"{a}-{b}" for a, b in itertools.product(["Bula", "Kuta", "Sama"], ["Lakan", "Ramo", "Ilar"])] + ["Tierra Vieja", "Puerto Damero", "Isla Norte"]
+    data = [(i, rnd.choice(names)) for i in range(400)] + [(1000 + i, " + ".join(rnd.sample(names, 2))) for i in range(100)]
+    got = values(packed.unpack(spark.createDataFrame(data, "id int, f string"), "f"))
+    assert all(got[i] == [v] if i < 1000 else got[i] == v.split(" + ") for i, v in data)
+
+
+def test_commas_in_running_text_part_nothing(spark):
+    rnd = random.Random(3)
+    words = "supply delivery and of installation the chairs for office tables 12 units new Metro School in Norte repair".split()
+    text = lambda: " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 9)))
+    data = [(i, ", ".join(text() for _ in range(rnd.randint(1, 5)))) for i in range(400)]
+    got = values(packed.unpack(spark.createDataFrame(data, "id int, f string"), "f"))
+    assert all(got[i] == [v] for i, v in data)
+
+
+def test_empty_table(spark):
     assert packed.unpack(data(spark).limit(0), "f", LISTED, "src").count() == 0
+    assert packed.unpack(data(spark).limit(0), "f").count() == 0
+
+
+def test_list_as_a_table_of_any_size(spark, monkeypatch):
+    rows = [(x,) for x in LISTED] + [(None,), ("Alpha",)] + [(f"Place {i} - {i}",) for i in range(3000)]
+    listed = spark.createDataFrame(rows, "token string")
+    df = data(spark).unionByName(spark.createDataFrame([(500, "s", "place 17 - 17; oak, elm AND ash; Place 2 - 2 Alpha", "x"), (501, "s", "Place 2999 - 2999 - Alpha", "x")], "id int, src string, f string, pos string"))
+    got = []
+    for size in (packed.HELD_BYTES, 2000):
+        monkeypatch.setattr(packed, "HELD_BYTES", size)
+        got.append(sorted((r.id, r["_pos"], r.value) for r in packed.unpack(df, "f", listed, "src").collect()))
+    assert got[0] == got[1]
+    assert [x[2] for x in got[0] if x[0] == 500] == ["place 17 - 17", "oak, elm AND ash", "Place 2 - 2 Alpha"]
+    assert [x[2] for x in got[0] if x[0] == 501] == ["Place 2999 - 2999", "Alpha"]
+
+
+def test_names_by_first_letters_as_by_pattern(monkeypatch):
+    texts = ["Oak, Elm and Ash; (Town)/bula-lakan", "xBula-Lakan Bula-Lakans", "(town), BULA-LAKAN", "", "Ⱥ bula-lakan"]
+    want = [packed.Held(LISTED).spans(t) for t in texts]
+    monkeypatch.setattr(packed, "PATTERN_NAMES", 0)
+    assert [packed.Held(LISTED).spans(t) for t in texts] == want
 
 
 def test_long_text(spark):
