@@ -59,12 +59,14 @@ def effective_join(left: DataFrame, dated: DataFrame, day: str, start: str, end:
     return range_join(left, d, F.unix_date(day), a, b, how=how).drop(a, b)
 
 
-def keyed_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = 0.01) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = 0.01, heavy: list | None = None) -> DataFrame:
     """``left`` with the row of ``right`` of the same ``key`` (unique in ``right``, null matches nothing), safe where a few keys hold most of ``left``.
 
-    Rows of ``right`` for the heavy keys of ``left`` (2 / ``share`` at most) are broadcast; the rest is joined by shuffle.
+    Rows of ``right`` for the heavy keys of ``left`` (2 / ``share`` at most) are broadcast; the rest is joined by shuffle. ``heavy``: those keys, found by a pass
+    over ``left`` if not given; joins one after another take theirs from one pass over what they start from.
     """
-    heavy = heavy_keys(left, [key], share)[1][key]
+    if heavy is None:
+        heavy = heavy_keys(left, [key], share)[1][key]
     if not heavy:
         return left.join(right, key, how)
     hot = F.col(key).cast("string").isin(heavy)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from brightledger.functions.text import fold
 from brightledger.operators.joins import keyed_join
+from brightledger.operators.skew import heavy_keys
 
 # Legal words and their short forms, the forms that level 3 drops, and the words of joint ventures.
 LEGAL_WORDS = {"INCORPORATED": "INC", "CORPORATION": "CORP", "COMPANY": "CO", "LIMITED": "LTD"}
@@ -114,6 +115,7 @@ def suppliers(aliases: DataFrame) -> DataFrame:
 
 def facts(staged: DataFrame, agencies: DataFrame, aliases: DataFrame) -> DataFrame:
     """The fact table: staged awards with the ids of their agency and supplier."""
-    out = keyed_join(staged, agencies.select("agency_key", "agency_id"), "agency_key", "inner")
-    out = keyed_join(out, aliases.select("supplier_raw", "supplier_id"), "supplier_raw", "inner")
+    heavy = heavy_keys(staged, ["agency_key", "supplier_raw"], 0.01)[1]
+    out = keyed_join(staged, agencies.select("agency_key", "agency_id"), "agency_key", "inner", heavy=heavy["agency_key"])
+    out = keyed_join(out, aliases.select("supplier_raw", "supplier_id"), "supplier_raw", "inner", heavy=heavy["supplier_raw"])
     return out.select("award_id", "agency_id", "supplier_id", "award_date", F.year("award_date").alias("award_year"), "contract_amount", "business_category", "reference_id")

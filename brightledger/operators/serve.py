@@ -45,14 +45,62 @@ def rank_by(df: DataFrame, parts: list[str], measure: Column, ties: list[str], m
     return df.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most)
 
 
-def pattern_rankings(conc: DataFrame, bunching: DataFrame, same_day: DataFrame, amount: int, most: int, years: int) -> DataFrame:
-    """(pattern, award_year, place, agency_id, measure) of the latest ``years`` years: each pattern's top agencies in one pass a pattern."""
+def pattern_rankings(conc: DataFrame, bunching: DataFrame, same_day: DataFrame, agencies: DataFrame, amount: int, most: int, years: int) -> DataFrame:
+    """Each pattern's top agencies of each of the latest ``years`` years, with all patterns side by side.
+
+    (pattern, award_year, place, agency_id, agency_name, agency_type, awards, total_value, under, over, same_day_groups, same_day_value,
+    top_supplier_share, suppliers); the order is by the exact measure, then by the agency's name and id, and only what is shown is rounded.
+    """
+    k = ["agency_id", "award_year"]
     latest = conc.select("award_year").distinct().filter(F.col("award_year").isNotNull()).orderBy(F.desc("award_year")).limit(years)
-    b = bunching.filter((F.col("round_amount") == amount) & F.col("enough_data")).select("agency_id", "award_year", F.lit("bunching").alias("pattern"), F.col("awards_under").cast("double").alias("measure"))
-    s = same_day.filter("groups > 0").select("agency_id", "award_year", F.lit("same_day").alias("pattern"), F.col("groups").cast("double").alias("measure"))
-    c = conc.filter("enough_data").select("agency_id", "award_year", F.lit("concentration").alias("pattern"), F.round("top_supplier_share", 6).alias("measure"))
-    rows = b.unionByName(s).unionByName(c).join(F.broadcast(latest), "award_year", "left_semi").filter(F.col("agency_id").isNotNull())
-    return rank_by(rows, ["pattern", "award_year"], F.col("measure"), ["agency_id"], most).select("pattern", "award_year", "place", "agency_id", "measure")
+    b = bunching.filter(F.col("round_amount") == amount).select(*k, F.col("awards_under").alias("under"), F.col("awards_over").alias("over"), F.col("enough_data").alias("banded"))
+    s = same_day.select(*k, F.col("groups"), F.col("total_value").alias("day_value"))
+    rows = conc.join(F.broadcast(latest), "award_year", "left_semi").join(agencies.select("agency_id", "agency_name", "agency_type"), "agency_id").join(b, k, "left").join(s, k, "left")
+    measure = lambda name, c, hit: F.when(hit, F.struct(F.lit(name).alias("pattern"), F.col(c).cast("double").alias("measure")))
+    each = F.array(measure("bunching", "under", F.col("banded")), measure("same_day", "groups", F.col("groups") > 0), measure("concentration", "top_supplier_share", F.col("enough_data")))
+    ranked = rank_by(rows.select("*", F.inline(F.filter(each, lambda x: x.isNotNull()))), ["pattern", "award_year"], F.col("measure"), ["agency_name", "agency_id"], most)
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    return ranked.select(
+        "pattern", "award_year", "place", "agency_id", "agency_name", "agency_type", "awards", F.round("total_value").alias("total_value"), zero("under").alias("under"), zero("over").alias("over"),
+        zero("groups").alias("same_day_groups"), F.round(F.coalesce("day_value", F.lit(0.0))).alias("same_day_value"), F.round("top_supplier_share", 4).alias("top_supplier_share"), "suppliers",
+    )
+
+
+def focus_yearly(area_year: DataFrame, area: str) -> DataFrame:
+    return area_year.filter(F.col("area_name") == area).select("award_year", "awards", F.round("total_value").alias("total_value"))
+
+
+def focus_agencies(area_agency: DataFrame, agencies: DataFrame, area: str, most: int) -> DataFrame:
+    """The area's ``most`` agencies by exact value, ties by name and id, with their ``place``."""
+    rows = area_agency.filter(F.col("area_name") == area).join(agencies.select("agency_id", "agency_name", "agency_type"), "agency_id")
+    top = rows.orderBy(F.desc_nulls_last("total_value"), "agency_name", "agency_id").limit(most)
+    w = Window.orderBy(F.desc_nulls_last("total_value"), "agency_name", "agency_id")  # of ``most`` rows
+    return top.select(F.row_number().over(w).alias("place"), "agency_id", "agency_name", "agency_type", "awards", F.round("total_value").alias("total_value"))
+
+
+def focus_types(area_agency: DataFrame, agencies: DataFrame, area: str) -> DataFrame:
+    return by_kind(area_agency.filter(F.col("area_name") == area), agencies, "agency_id", "agency_type", [], ["awards", "total_value"])
+
+
+def bunching_by_type(bunching: DataFrame, agencies: DataFrame, amount: int) -> DataFrame:
+    return by_kind(bunching.filter(F.col("round_amount") == amount), agencies, "agency_id", "agency_type", ["award_year"], ["awards_under", "awards_over"])
+
+
+def month_ratios(monthly: DataFrame, first_month: str, least: int) -> DataFrame:
+    """(award_month, ratio_a, ratio_b): awards under to over both amounts, of months from ``first_month`` on with ``least`` awards over the second."""
+    m = monthly.filter((F.col("award_month") >= F.to_date(F.lit(first_month))) & (F.col("over_b") >= least))
+    return m.select("award_month", F.try_divide("under_a", "over_a").alias("ratio_a"), F.try_divide("under_b", "over_b").alias("ratio_b"))
+
+
+def type_ratios(by_type: DataFrame, year: int) -> DataFrame:
+    """(agency_type, awards_under, awards_over, ratio) of one year, of types with awards over the amount."""
+    t = by_type.filter((F.col("award_year") == year) & (F.col("awards_over") > 0))
+    return t.select("agency_type", "awards_under", "awards_over", (F.col("awards_under") / F.col("awards_over")).alias("ratio"))
+
+
+def lookup(df: DataFrame, key: str, value: object) -> DataFrame:
+    """The rows of one key; the filter reaches the scan."""
+    return df.filter(F.col(key) == F.lit(value))
 
 
 def main_value(df: DataFrame, key: str, value: str, weight: str) -> DataFrame:
@@ -81,7 +129,7 @@ def search(df: DataFrame, column: str, text: str, kind: str | None = None, kind_
         hit = hit & F.upper(column).contains(w.upper())
     if kind is not None and kind_column:
         hit = hit & (F.col(kind_column) == kind)
-    return df.filter(hit).orderBy(column).limit(most)
+    return df.filter(hit).orderBy(*[column, *[c for c in df.columns if c != column]]).limit(most)
 
 
 def unpacked_arrays(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -109,13 +157,21 @@ def unit_text(amount: Column) -> Column:
     return out
 
 
-def run_summary(raw: DataFrame, rejected: DataFrame, facts: DataFrame, agencies: DataFrame, suppliers: DataFrame) -> DataFrame:
-    """(measure, value): counts of a run, one aggregate a table."""
-    one = lambda df, name: df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit(name).alias("measure"), "value")
-    parts = [one(raw, "raw_rows"), one(rejected, "quarantined_rows"), one(facts, "awards"), one(agencies, "agencies"), one(suppliers, "suppliers")]
-    parts.append(facts.agg(F.coalesce(F.sum("contract_amount"), F.lit(0.0)).alias("value")).select(F.lit("total_value").alias("measure"), "value"))
-    rules = rejected.groupBy(F.concat(F.lit("rule:"), F.col("rule")).alias("measure")).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    out = rules
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+def run_summary(raw: DataFrame, staged: DataFrame, rejected: DataFrame, agency_names: DataFrame, supplier_names: DataFrame, agencies: DataFrame, suppliers: DataFrame, aliases: DataFrame, level: int) -> DataFrame:
+    """(position, measure, value): what a run took in, rejected by rule, folded, resolved by rule and kept, in the order of ``position``, then of falling values. One aggregate a table."""
+    n = F.count(F.lit(1))
+
+    def of(df: DataFrame, **measures: tuple[int, Column]) -> DataFrame:
+        row = df.agg(*[c.cast("double").alias(m) for m, (_, c) in measures.items()])
+        each = F.array(*[F.struct(F.lit(at).alias("position"), F.lit(m).alias("measure"), F.coalesce(m, F.lit(0.0)).alias("value")) for m, (at, _) in measures.items()])
+        return row.select(F.inline(each))
+
+    def by_rule(df: DataFrame, at: int, name: str) -> DataFrame:
+        return df.groupBy("rule").agg(n.cast("double").alias("value")).select(F.lit(at).alias("position"), F.concat(F.lit(name + ":"), "rule").alias("measure"), "value")
+
+    looks = F.count_if(F.col("confusables") > 0)
+    out = of(raw, raw_rows=(1, n)).unionByName(of(staged, staged_rows=(2, n), staged_value=(11, F.sum("contract_amount")))).unionByName(of(rejected, quarantined_rows=(3, n))).unionByName(by_rule(rejected, 4, "rejected"))
+    out = out.unionByName(of(agency_names, agency_names_raw=(5, n), agency_keys=(6, F.countDistinct("key")))).unionByName(of(supplier_names, supplier_names_raw=(7, n), supplier_keys=(8, F.countDistinct("key"))))
+    out = out.unionByName(of(agency_names.select("confusables").unionByName(supplier_names.select("confusables")), names_with_look_alikes=(10, looks)))
+    out = out.unionByName(of(agencies, agencies=(12, n))).unionByName(of(suppliers, suppliers=(13, n))).unionByName(of(aliases, supplier_aliases=(14, n))).unionByName(by_rule(aliases, 15, "alias"))
+    return out.unionByName(raw.sparkSession.range(1).select(F.lit(16).alias("position"), F.lit("match_level").alias("measure"), F.lit(float(level)).alias("value")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brightledger.config import DEFAULT, Settings
 from brightledger.operators.joins import keyed_join
+from brightledger.operators.skew import heavy_keys
 
 CONTENT = ("reference_id", "contract_no", "award_title", "notice_title", "agency_raw", "supplier_raw", "area_raw", "business_category", "contract_amount", "award_date")
 
@@ -17,12 +18,15 @@ def blank_to_null(c: str) -> Column:
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Raw awards with blanks as nulls, dates as days, and the names the later steps use."""
+    """Raw awards with blanks as nulls, dates as days, and the names the later steps use.
+
+    An amount that is no number (NaN) is missing: the row stays and counts, and sums are of the others.
+    """
     return raw.select(
         F.col("id").cast("string").alias("award_id"),
         *[blank_to_null(c).alias(c) for c in ("reference_id", "contract_no", "award_title", "notice_title")],
         F.col("organization_name").alias("agency_raw"), F.col("awardee_name").alias("supplier_raw"), blank_to_null("area_of_delivery").alias("area_raw"),
-        "business_category", "contract_amount", F.to_date("award_date").alias("award_date"),
+        "business_category", F.nanvl("contract_amount", F.lit(None).cast("double")).alias("contract_amount"), F.to_date("award_date").alias("award_date"),
     )
 
 
@@ -31,15 +35,15 @@ def content_hash(columns: tuple[str, ...] | list[str] = CONTENT) -> Column:
     return F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
-def flag_duplicates(df: DataFrame, key: str = "award_id", columns: tuple[str, ...] | list[str] = CONTENT) -> DataFrame:
+def flag_duplicates(df: DataFrame, key: str = "award_id", columns: tuple[str, ...] | list[str] = CONTENT, heavy: list | None = None) -> DataFrame:
     """``df`` with ``content_hash``, ``keep_id`` (the smallest key of the equal records) and ``is_duplicate``.
 
     Group minima are made with partial aggregation and joined back with hot groups broadcast, so a record delivered a
     billion times ends in no single task.
     """
-    hashed = df.withColumn("content_hash", content_hash(columns))
+    hashed = df if "content_hash" in df.columns else df.withColumn("content_hash", content_hash(columns))
     keep = hashed.groupBy("content_hash").agg(F.min(key).alias("keep_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    out = keyed_join(hashed, keep, "content_hash")
+    out = keyed_join(hashed, keep, "content_hash", heavy=heavy)
     return out.withColumn("keep_id", F.coalesce("keep_id", key)).withColumn("is_duplicate", ~F.col(key).eqNullSafe(F.col("keep_id")))
 
 
@@ -71,9 +75,11 @@ def ruled(df: DataFrame, agency_keys: DataFrame, supplier_keys: DataFrame, revie
     ``agency_keys`` and ``supplier_keys``: (raw, key) of the distinct names; a null name has the empty key. ``reviewed`` (award_id) lists large amounts that were
     looked at.
     """
-    out = flag_duplicates(df)
+    df = df.withColumn("content_hash", content_hash())
+    heavy = heavy_keys(df, ["content_hash", "agency_raw", "supplier_raw"], 0.01)[1]
+    out = flag_duplicates(df, heavy=heavy["content_hash"])
     for side, keys in (("agency", agency_keys), ("supplier", supplier_keys)):
-        out = keyed_join(out, keys.select(F.col("raw").alias(f"{side}_raw"), F.col("key").alias(f"{side}_key")), f"{side}_raw").withColumn(f"{side}_key", F.coalesce(f"{side}_key", F.lit("")))
+        out = keyed_join(out, keys.select(F.col("raw").alias(f"{side}_raw"), F.col("key").alias(f"{side}_key")), f"{side}_raw", heavy=heavy[f"{side}_raw"]).withColumn(f"{side}_key", F.coalesce(f"{side}_key", F.lit("")))
     if reviewed is None:
         out = out.withColumn("is_reviewed", F.lit(False))
     else:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ def scan_raw(spark: SparkSession, path: str, binary_id: bool = False, view: str
 
 def scan_seed(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A seed CSV with header, every column text, blank cells null."""
-    return spark.read.schema(schemas.SEEDS[name]).option("header", True).csv(path)
+    return spark.read.schema(schemas.SEEDS[name]).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def scan_records(spark: SparkSession, rows: Iterable[dict], schema: T.StructType | str) -> DataFrame:
@@ -57,16 +58,13 @@ def sha256(path: str | Path, block: int = 1 << 20) -> str:
 
 def verify_snapshot(folder: str | Path, manifest: dict) -> list[str]:
     """What is wrong with the files of ``manifest`` ({"files": {name: {"bytes", "sha256"}}}); empty if all are as pinned."""
-    wrong = []
-    for name, pinned in sorted(manifest["files"].items()):
-        path = Path(folder) / name
-        if not path.exists():
-            wrong.append(f"{name}: missing")
-        elif path.stat().st_size != pinned["bytes"]:
-            wrong.append(f"{name}: {path.stat().st_size} bytes, not {pinned['bytes']}")
-        elif sha256(path) != pinned["sha256"]:
-            wrong.append(f"{name}: another digest")
-    return wrong
+
+    def fault(path: Path, pinned: dict) -> str | None:
+        tests = (("missing", path.is_file), ("another size", lambda: path.stat().st_size == pinned["bytes"]), ("another digest", lambda: sha256(path) == pinned["sha256"]))
+        return next((word for word, holds in tests if not holds()), None)
+
+    found = {name: fault(Path(folder) / name, pinned) for name, pinned in manifest["files"].items()}
+    return [f"{name}: {word}" for name, word in sorted(found.items()) if word]
 
 
 def read_manifest(path: str | Path) -> dict:
@@ -80,33 +78,65 @@ def save_table(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession, folder: str) -> None:
+    """Removes a warehouse folder, so that a build starts afresh."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def save_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def _plain(v: object) -> object:
-    return v if v is None or isinstance(v, (bool, int, float, str)) else str(v)
-
+class Columns:
+    """A result to be written as one array per column, which is shorter than row objects. Its rows must be in a total order."""
 
-def rows_of(df: DataFrame, most: int = 100_000) -> list[dict]:
-    """A small result as row objects, dates as text; a result beyond ``most`` rows is refused."""
-    got = df.limit(most + 1).collect()
-    if len(got) > most:
-        raise ValueError(f"over {most} rows to export")
-    return [{k: _plain(v) for k, v in r.asDict().items()} for r in got]
+    def __init__(self, df: DataFrame):
+        self.df = df
 
 
-def columns_of(df: DataFrame, most: int = 100_000) -> dict[str, list]:
-    """A small result as one array per column, which is shorter than row objects."""
-    rows = rows_of(df, most)
-    return {c: [r[c] for r in rows] for c in df.columns}
+def _plain(v: object) -> object:
+    return v if v is None or isinstance(v, (bool, int, float, str)) else str(v)
 
 
-def write_json(path: str | Path, data: object, indent: int | None = None) -> int:
-    """Writes sorted JSON (compact without ``indent``) and returns its size in bytes."""
-    text = json.dumps(data, sort_keys=True, default=str, indent=indent, separators=None if indent else (",", ":")) + "\n"
-    Path(path).write_text(text, encoding="utf-8")
-    return len(text.encode())
+def _pieces(data: object) -> Iterator[str]:
+    """Compact JSON with sorted keys, piece by piece; a data frame is an array of row objects, read part by part."""
+    if isinstance(data, DataFrame):
+        yield "["
+        for i, r in enumerate(data.toLocalIterator()):
+            yield ("," if i else "") + json.dumps({k: _plain(v) for k, v in r.asDict().items()}, sort_keys=True, separators=(",", ":"))
+        yield "]"
+    elif isinstance(data, Columns):
+        yield "{"
+        for k, c in enumerate(sorted(data.df.columns)):
+            yield ("," if k else "") + json.dumps(c) + ":["
+            for i, r in enumerate(data.df.toLocalIterator()):
+                yield ("," if i else "") + json.dumps(_plain(r[c]))
+            yield "]"
+        yield "}"
+    elif isinstance(data, dict):
+        yield "{"
+        for i, (k, v) in enumerate(sorted((str(k), v) for k, v in data.items())):
+            yield ("," if i else "") + json.dumps(k) + ":"
+            yield from _pieces(v)
+        yield "}"
+    elif isinstance(data, (list, tuple)):
+        yield "["
+        for i, v in enumerate(data):
+            yield "," if i else ""
+            yield from _pieces(v)
+        yield "]"
+    else:
+        yield json.dumps(_plain(data))
+
+
+def write_json(path: str | Path, data: object) -> int:
+    """Writes compact sorted JSON and returns its size in bytes. Data frames in ``data`` may be of any length: they are streamed."""
+    n = 0
+    with open(path, "wb") as f:
+        for piece in chain(_pieces(data), "\n"):
+            n += f.write(piece.encode())
+    return n
 
 
 def export_json(folder: str | Path, parts: dict[str, object]) -> dict[str, int]:

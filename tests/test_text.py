@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from brightledger.functions.text import fold, jaro_winkler, plain
+from brightledger.functions.text import fold, jaro_winkler, jaro_winkler_pairs, plain
 
 
 def test_fold():
@@ -30,3 +30,12 @@ def test_jaro_winkler_against_sql():
         a, b = ("".join(rnd.choice("ABCD ") for _ in range(rnd.randint(1, 12))) for _ in range(2))
         want = con.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchall()[0][0]
         assert jaro_winkler(a, b) == pytest.approx(want, abs=1e-12), (a, b)
+
+
+def test_jaro_winkler_of_many_pairs():
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choice("ABCDÑ ") for _ in range(rnd.randint(0, 14)))
+    a = [word() for _ in range(2000)]
+    b = [x[: len(x) // 2] + word() if rnd.random() < 0.5 else word() for x in a]
+    assert jaro_winkler_pairs(a, b).tolist() == pytest.approx([jaro_winkler(x, y) for x, y in zip(a, b)], abs=1e-12)
+    assert jaro_winkler_pairs([], []).tolist() == [] and jaro_winkler_pairs(["", ""], ["", "A"]).tolist() == [0.0, 0.0]
