@@ -79,11 +79,9 @@ def build(spark: SparkSession, places: Places) -> int:
     (places.build / "tables.json").write_text(json.dumps(sorted(saved)))
     report = pipeline.report(Warehouse(spark, places), places.settings().snapshot_day.isoformat())
     io.write_json(places.build / "dq_report.json", report)
-    for k, v in report["summary"].items():
-        print(f"{k:<40}{v:>20,.0f}")
-    for c in report["checks"]:
-        print(f"{'PASS' if c['passed'] else 'WARN' if c['severity'] == 'warn' else 'FAIL'}  {c['name']:<34}{c['violations']:>10,}")
-    print("publishable" if report["publishable"] else "NOT publishable: a blocking check failed")
+    print("\n".join(f"{v:>20,.0f}  {k}" for k, v in report["summary"].items()))
+    print("\n".join(f"{c['violations']:>20,}  {c['name']} ({'sound' if c['passed'] else c['severity']})" for c in report["checks"]))
+    print("The build may be published." if report["publishable"] else "The build may not be published.")
     return 0 if report["publishable"] else 1
 
 
@@ -121,7 +119,7 @@ def publish(spark: SparkSession, places: Places, area: str) -> int:
     try:
         sizes = export.publish(places.site, b, report, area, places.manifest(), matching(spark, places, b))
     except export.NotPublishable as e:
-        print(f"not exporting: a blocking check failed in the last build: {e}", file=sys.stderr)
+        print(f"Nothing is published, as these checks failed: {e}", file=sys.stderr)
         return 1
     for name, size in sizes.items():
         print(f"{size:>10,}  {name}")
@@ -141,7 +139,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print("\n".join(problems), file=sys.stderr)
             return 2
         if a.command == "verify":
-            print("the snapshot is as pinned")
+            print("All files are as pinned.")
             return 0
     places.build.mkdir(parents=True, exist_ok=True)
     spark = spark or SparkSession.builder.appName("brightledger").config("spark.sql.session.timeZone", "UTC").getOrCreate()

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def whole(value: Column) -> Column:
+    """``value`` without decimals. Hundredths are rounded first, so that a half does not fall by the order in which it was summed."""
+    return F.round(F.round(value, 2))
+
+
 def histogram(facts: DataFrame, amount: int, span: int, year: int | None = None) -> DataFrame:
     """(amount, step, awards): awards in 1 % steps around ``amount``, each step open below and closed above, from -span to span - 1 without gaps.
 
@@ -34,8 +39,8 @@ def agency_profile(agency_year: DataFrame, conc: DataFrame, bunching: DataFrame,
     out = agency_year.join(big, "agency_id").join(conc.select(*k, "top_supplier_share", "herfindahl", "suppliers"), k).join(b, k, "left").join(s, k, "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
     return out.select(
-        *k, "awards", F.round("total_value").alias("total_value"), F.round("top_supplier_share", 4).alias("top_supplier_share"), F.round("herfindahl", 4).alias("herfindahl"), "suppliers",
-        zero("under").alias("under"), zero("over").alias("over"), zero("groups").alias("same_day_groups"), F.round(F.coalesce("day_value", F.lit(0.0))).alias("same_day_value"),
+        *k, "awards", whole(F.col("total_value")).alias("total_value"), F.round("top_supplier_share", 4).alias("top_supplier_share"), F.round("herfindahl", 4).alias("herfindahl"), "suppliers",
+        zero("under").alias("under"), zero("over").alias("over"), zero("groups").alias("same_day_groups"), whole(F.coalesce("day_value", F.lit(0.0))).alias("same_day_value"),
     )
 
 
@@ -61,13 +66,13 @@ def pattern_rankings(conc: DataFrame, bunching: DataFrame, same_day: DataFrame,
     ranked = rank_by(rows.select("*", F.inline(F.filter(each, lambda x: x.isNotNull()))), ["pattern", "award_year"], F.col("measure"), ["agency_name", "agency_id"], most)
     zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
     return ranked.select(
-        "pattern", "award_year", "place", "agency_id", "agency_name", "agency_type", "awards", F.round("total_value").alias("total_value"), zero("under").alias("under"), zero("over").alias("over"),
-        zero("groups").alias("same_day_groups"), F.round(F.coalesce("day_value", F.lit(0.0))).alias("same_day_value"), F.round("top_supplier_share", 4).alias("top_supplier_share"), "suppliers",
+        "pattern", "award_year", "place", "agency_id", "agency_name", "agency_type", "awards", whole(F.col("total_value")).alias("total_value"), zero("under").alias("under"), zero("over").alias("over"),
+        zero("groups").alias("same_day_groups"), whole(F.coalesce("day_value", F.lit(0.0))).alias("same_day_value"), F.round("top_supplier_share", 4).alias("top_supplier_share"), "suppliers",
     )
 
 
 def focus_yearly(area_year: DataFrame, area: str) -> DataFrame:
-    return area_year.filter(F.col("area_name") == area).select("award_year", "awards", F.round("total_value").alias("total_value"))
+    return area_year.filter(F.col("area_name") == area).select("award_year", "awards", whole(F.col("total_value")).alias("total_value"))
 
 
 def focus_agencies(area_agency: DataFrame, agencies: DataFrame, area: str, most: int) -> DataFrame:
@@ -75,7 +80,7 @@ def focus_agencies(area_agency: DataFrame, agencies: DataFrame, area: str, most:
     rows = area_agency.filter(F.col("area_name") == area).join(agencies.select("agency_id", "agency_name", "agency_type"), "agency_id")
     top = rows.orderBy(F.desc_nulls_last("total_value"), "agency_name", "agency_id").limit(most)
     w = Window.orderBy(F.desc_nulls_last("total_value"), "agency_name", "agency_id")  # of ``most`` rows
-    return top.select(F.row_number().over(w).alias("place"), "agency_id", "agency_name", "agency_type", "awards", F.round("total_value").alias("total_value"))
+    return top.select(F.row_number().over(w).alias("place"), "agency_id", "agency_name", "agency_type", "awards", whole(F.col("total_value")).alias("total_value"))
 
 
 def focus_types(area_agency: DataFrame, agencies: DataFrame, area: str) -> DataFrame:
@@ -113,7 +118,7 @@ def directory(agencies: DataFrame, area_agency: DataFrame, least: int) -> DataFr
     main = main_value(area_agency, "agency_id", "area_name", "awards").withColumnRenamed("area_name", "main_area")
     big = agencies.filter(F.col("award_count") >= least)
     return big.join(main, "agency_id", "left").select(
-        "agency_id", "agency_name", "agency_type", F.col("award_count").alias("awards"), F.round("total_value").alias("total_value"), F.year("first_award_date").alias("first_year"), F.year("last_award_date").alias("last_year"), "main_area"
+        "agency_id", "agency_name", "agency_type", F.col("award_count").alias("awards"), whole(F.col("total_value")).alias("total_value"), F.year("first_award_date").alias("first_year"), F.year("last_award_date").alias("last_year"), "main_area"
     )
 
 

@@ -18,7 +18,7 @@ class NotPublishable(Exception):
 
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    return df.withColumns({c: F.round(c, n) if n else serve.whole(F.col(c)) for c, n in digits.items()})
 
 
 def _settings(cfg: Settings, area: str) -> dict:

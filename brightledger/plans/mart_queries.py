@@ -157,7 +157,7 @@ def _largest(t: _Tables) -> DataFrame:
 
 def _shares(t: _Tables) -> DataFrame:
     c = t.concentration
-    return c.select("agency_id", "award_year", F.round(serve.suppressed(F.col("top_supplier_share"), F.col("awards"), 30), 6).alias("shown_share"), serve.unit_text(F.round("total_value")).alias("shown_value"))
+    return c.select("agency_id", "award_year", F.round(serve.suppressed(F.col("top_supplier_share"), F.col("awards"), 30), 6).alias("shown_share"), serve.unit_text(serve.whole(F.col("total_value"))).alias("shown_value"))
 
 
 def _path(t: _Tables, name: str) -> str:
@@ -292,7 +292,7 @@ def _chained(sql: str) -> str:
 
 
 _CHAIN = chain_sql.chain(CFG, LEVEL)
-_DIRECTORY = f"""(SELECT agency_id, agency_name, agency_type, award_count AS awards, round(total_value) AS total_value, year(first_award_date)::INT AS first_year, year(last_award_date)::INT AS last_year,
+_DIRECTORY = f"""(SELECT agency_id, agency_name, agency_type, award_count AS awards, round(round(total_value, 2)) AS total_value, year(first_award_date)::INT AS first_year, year(last_award_date)::INT AS last_year,
     (SELECT arg_min(area_name, (-m.awards, area_name)) FROM c_area_agency m WHERE m.agency_id = a.agency_id) AS main_area FROM c_agencies a WHERE award_count >= {CFG.listed_awards})"""
 _POOL = f"""(SELECT a.key AS key_a, b.key AS key_b, jaro_winkler_similarity(a.name, b.name) AS similarity FROM (SELECT DISTINCT supplier_key AS key, clean_key AS name FROM c_aliases) a
     JOIN (SELECT DISTINCT supplier_key AS key, clean_key AS name FROM c_aliases) b ON split_part(a.name, ' ', 1) = split_part(b.name, ' ', 1) AND a.key < b.key AND length(split_part(a.name, ' ', 1)) >= 3
@@ -341,8 +341,8 @@ _BATCH = {
     "fact_table": "SELECT * FROM c_facts",
     "area_year": _area_sql("award_year"),
     "area_agency": _area_sql("agency_id"),
-    "pattern_rankings": f"""SELECT pattern, award_year, place, agency_id, agency_name, agency_type, awards, round(total_value) AS total_value, coalesce(under, 0) AS under, coalesce(over, 0) AS over,
-        coalesce(same_day_groups, 0) AS same_day_groups, round(coalesce(day_value, 0)) AS same_day_value, round(top_supplier_share, 4) AS top_supplier_share, suppliers FROM
+    "pattern_rankings": f"""SELECT pattern, award_year, place, agency_id, agency_name, agency_type, awards, round(round(total_value, 2)) AS total_value, coalesce(under, 0) AS under, coalesce(over, 0) AS over,
+        coalesce(same_day_groups, 0) AS same_day_groups, round(round(coalesce(day_value, 0), 2)) AS same_day_value, round(top_supplier_share, 4) AS top_supplier_share, suppliers FROM
         (SELECT *, row_number() OVER (PARTITION BY pattern, award_year ORDER BY measure DESC, agency_name, agency_id)::INT AS place FROM
             (SELECT c.*, a.agency_name, a.agency_type, b.awards_under AS under, b.awards_over AS over, s.groups AS same_day_groups, s.total_value AS day_value,
                 unnest([{{'pattern': 'bunching', 'measure': CASE WHEN b.enough_data THEN b.awards_under END::DOUBLE}}, {{'pattern': 'same_day', 'measure': CASE WHEN s.groups > 0 THEN s.groups END::DOUBLE}},
@@ -356,8 +356,8 @@ _BATCH = {
     "packed_listing": f"SELECT agency_id, agency_name, awards FROM {_DIRECTORY}",
     "agency_lookup": f"SELECT agency_id, agency_name, awards FROM {_DIRECTORY} WHERE agency_id = (SELECT agency_id FROM {_DIRECTORY} ORDER BY awards DESC, agency_id LIMIT 1)",
     "keyword_search": "SELECT agency_id, agency_name FROM c_agencies WHERE contains(upper(agency_name), 'NATIONAL') AND contains(upper(agency_name), 'SCHOOL') AND agency_type = 'national_or_other' ORDER BY agency_name, agency_id LIMIT 200",
-    "focus_yearly": f"SELECT award_year, awards, round(total_value) AS total_value FROM c_area_year WHERE area_name = '{AREA}'",
-    "focus_agencies": f"""SELECT row_number() OVER (ORDER BY m.total_value DESC NULLS LAST, agency_name, agency_id)::INT AS place, agency_id, agency_name, agency_type, awards, round(m.total_value) AS total_value
+    "focus_yearly": f"SELECT award_year, awards, round(round(total_value, 2)) AS total_value FROM c_area_year WHERE area_name = '{AREA}'",
+    "focus_agencies": f"""SELECT row_number() OVER (ORDER BY m.total_value DESC NULLS LAST, agency_name, agency_id)::INT AS place, agency_id, agency_name, agency_type, awards, round(round(m.total_value, 2)) AS total_value
         FROM c_area_agency m JOIN c_agencies USING (agency_id) WHERE area_name = '{AREA}' ORDER BY place LIMIT {CFG.ranked}""",
     "focus_types": f"SELECT agency_type, sum(awards)::BIGINT AS awards, round(sum(m.total_value), 2) AS total_value FROM c_area_agency m JOIN c_agencies USING (agency_id) WHERE area_name = '{AREA}' GROUP BY 1",
     "pair_pool": f"SELECT key_a, key_b, round(similarity, 7) AS similarity FROM {_POOL}",
@@ -377,11 +377,11 @@ _BATCH = {
 
 ORACLES = {k: _CHAIN + sql for k, sql in _BATCH.items()} | {
     "month_ratios": f"""SELECT award_month, round(under_a / nullif(over_a, 0), 6) AS ratio_a, round(under_b / nullif(over_b, 0), 6) AS ratio_b FROM {_MONTHLY} WHERE award_month >= DATE '2022-01-01' AND over_b >= 2""",
-    "served_yearly": """SELECT award_year, count(*) AS awards, round(sum(contract_amount)) AS total_value, count(DISTINCT agency_id) AS agencies, count(DISTINCT supplier_id) AS suppliers,
+    "served_yearly": """SELECT award_year, count(*) AS awards, round(round(sum(contract_amount), 2)) AS total_value, count(DISTINCT agency_id) AS agencies, count(DISTINCT supplier_id) AS suppliers,
         round(avg((reference_id IS NOT NULL)::INT), 4) AS share_with_reference_id FROM core_awards GROUP BY 1""",
     "served_bunching": f"""SELECT award_year, round_amount, amount_kind, in_force, awards_under, awards_over, round(r, 3) AS ratio, round(p, 3) AS placebo_ratio, round(r / nullif(p, 0), 3) AS excess
         FROM {_COUNTED} LEFT JOIN (SELECT award_year, median(r) AS p FROM {_COUNTED} WHERE amount_kind = 'placebo' GROUP BY 1) USING (award_year)""",
-    "suppressed_shares": f"SELECT agency_id, award_year, CASE WHEN awards >= 30 THEN round(top_supplier_share, 6) END AS shown_share, {_UNITS} AS shown_value FROM (SELECT *, round(total_value) AS v FROM {_CONC})",
+    "suppressed_shares": f"SELECT agency_id, award_year, CASE WHEN awards >= 30 THEN round(top_supplier_share, 6) END AS shown_share, {_UNITS} AS shown_value FROM (SELECT *, round(round(total_value, 2)) AS v FROM {_CONC})",
     "seed_csv": "SELECT token, nullif(canonical, '') AS canonical, kind FROM areas",
     "saved_table": "SELECT * FROM analysis_amounts",
     "award_bands": f"SELECT award_id, agency_id, award_year, round_amount, is_under FROM {_BANDS}",
@@ -406,8 +406,8 @@ ORACLES = {k: _CHAIN + sql for k, sql in _BATCH.items()} | {
         round(avg((reference_id IS NOT NULL)::INT), 6) AS share_with_reference_id FROM core_awards GROUP BY 1""",
     "agency_year": "SELECT agency_id, award_year, count(*) AS awards, round(sum(contract_amount), 2) AS total_value FROM core_awards GROUP BY 1, 2",
     "cliff_histogram": _histogram_sql(150_000) + " UNION ALL " + _histogram_sql(250_000),
-    "agency_profile": f"""SELECT y.agency_id, y.award_year, y.awards, round(y.total_value) AS total_value, round(c.top_supplier_share, 4) AS top_supplier_share, round(c.herfindahl, 4) AS herfindahl, c.suppliers,
-        coalesce(b.awards_under, 0) AS under, coalesce(b.awards_over, 0) AS over, coalesce(s.groups, 0) AS same_day_groups, round(coalesce(s.total_value, 0)) AS same_day_value
+    "agency_profile": f"""SELECT y.agency_id, y.award_year, y.awards, round(round(y.total_value, 2)) AS total_value, round(c.top_supplier_share, 4) AS top_supplier_share, round(c.herfindahl, 4) AS herfindahl, c.suppliers,
+        coalesce(b.awards_under, 0) AS under, coalesce(b.awards_over, 0) AS over, coalesce(s.groups, 0) AS same_day_groups, round(round(coalesce(s.total_value, 0), 2)) AS same_day_value
         FROM (SELECT agency_id, award_year, count(*) AS awards, sum(contract_amount) AS total_value FROM core_awards GROUP BY 1, 2) y
         JOIN (SELECT agency_id FROM core_awards WHERE agency_id IS NOT NULL GROUP BY 1 HAVING count(*) >= {CFG.listed_awards}) USING (agency_id) JOIN {_CONC} c USING (agency_id, award_year)
         LEFT JOIN (SELECT * FROM {_BUNCH} WHERE round_amount = {CFG.focus_amount}) b USING (agency_id, award_year) LEFT JOIN {_DAY_AGENCY} s USING (agency_id, award_year)""",
