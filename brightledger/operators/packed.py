@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brightledger.functions.text import plain
+from brightledger.operators.joins import keyed_join
 from brightledger.session import free_name, spread, written
 
 #: Candidate signs: name -> pattern.
@@ -58,9 +59,11 @@ OUT_LETTERS = 50_000_000
 #: A sign is taken from this score on.
 LEAST = 0.35
 #: Recurring values of the column, and counters of the sketch that finds them; listed values that score signs (all of them are honoured in splitting).
-STANDING, TRACKED, LISTED = 10_000, 65_536, 200_000
+STANDING, TRACKED, LISTED = 2_000, 8_192, 200_000
 #: Bytes of listed names with signs in one broadcast; more of them take further passes over the rows, each narrow.
 HELD_BYTES = 16 << 20
+#: Sources whose signs are broadcast; the signs of more are joined by shuffle, hot sources apart.
+FEW_SOURCES = 20_000
 #: Listed names with signs up to which they are one pattern; more are looked up by their first letters.
 PATTERN_NAMES = 300
 
@@ -230,7 +233,7 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
     standing, whole = standing_values(df, column)
     types = (frozenset(type_key(x) for x in listed) | frozenset(map(type_key, standing))) - {""}
     covered = min(1.0, sum(n for x, n in standing.items() if type_key(x) in types) / whole) if whole else 0.0
-    src = df.select((F.col(source) if source else F.lit(None)).cast("string").alias("source"), F.col(column).cast("string").alias("v"), (F.col(places) if places else F.lit(None).cast("array<int>")).alias("places"))
+    src = df.select((F.col(source) if source else F.lit(None)).cast("string").alias("source"), F.col(column).cast("string").alias("v"), *([F.col(places).alias("places")] if places else []))
     out = T.StructType([T.StructField("source", T.StringType()), T.StructField("sign", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("shape", T.StringType()), T.StructField("places", T.LongType()), T.StructField("sides", T.LongType()), T.StructField("known", T.LongType())])
     held = held or Held(listed)
 
@@ -267,12 +270,12 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
         seen: dict[str, list[tuple]] = {}
         for batch in batches:
             total: dict[tuple, list[int]] = {}
-            for s, v, places in zip(*(c.to_pylist() for c in batch.columns)):
+            for s, v, *places in zip(*(c.to_pylist() for c in batch.columns)):
                 if v is None or not v.strip():
                     continue
                 got = seen.get(v)
                 if got is None:
-                    got = observed(v, places)
+                    got = observed(v, places[0] if places else None)
                     if len(v) <= 1000:
                         if len(seen) > 50_000:
                             seen.clear()
@@ -327,8 +330,9 @@ def unpack(df: DataFrame, column: str, listed: DataFrame | list[str] | None = No
     for wanted in (pos, value, count):
         names.append(free_name([*taken, *names], wanted))
     s, k, more = (free_name([*taken, *names], x) for x in ("_signs", "_source", "_held"))
-    # Names of further blocks are looked for in passes of their own; their places go along with the row.
-    rows = df.withColumn(more, F.lit(None).cast("array<int>"))
+    # Names of further blocks are looked for in passes of their own; their places go along with the row. (A column of arrays is dear to hand over, so there is none otherwise.)
+    several = len(blocks) > 1
+    rows = df.withColumn(more, F.lit(None).cast("array<int>")) if several else df
     wide = rows.schema
 
     def look(block: Held) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -342,19 +346,21 @@ def unpack(df: DataFrame, column: str, listed: DataFrame | list[str] | None = No
 
     for block in blocks[1:]:
         rows = rows.mapInArrow(look(block), wide)
-    if len(blocks) > 1:
+    if several:
         rows = written(rows, "held")
-    signs, _ = infer_signs(rows, column, source, some, blocks[0], more)
+    signs, _ = infer_signs(rows, column, source, some, blocks[0], more if several else None)
     key = (F.col(source) if source else F.lit(None)).cast("string")
     joined = spread(rows).withColumn(k, F.coalesce(F.concat(F.lit("="), key), F.lit("null")))
     signs = signs.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias(k), F.col("signs").alias(s))
-    joined = joined.join(signs, k, "left").select(*rows.columns, s)
+    signs = written(signs, "signs")
+    few = signs.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
+    joined = (joined.join(F.broadcast(signs), k, "left") if few else keyed_join(joined, signs, k)).select(*rows.columns, s)
     schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.IntegerType(), False), T.StructField(names[1], T.StringType(), False), T.StructField(names[2], T.IntegerType(), False)])
     held = blocks[0]
+    kept_columns, signs_at = len(df.columns), len(wide)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, list[str]] = {}
-        kept_columns = len(wide) - 1
         for batch in batches:
             rows, pos, values, counts, letters = [], [], [], [], 0
 
@@ -362,11 +368,11 @@ def unpack(df: DataFrame, column: str, listed: DataFrame | list[str] | None = No
                 kept = [c.take(pa.array(rows, pa.int64())) for c in batch.columns[:kept_columns]]
                 return pa.RecordBatch.from_arrays([*kept, pa.array(pos, pa.int32()), pa.array(values, pa.string()), pa.array(counts, pa.int32())], names=[*batch.schema.names[:kept_columns], *names])
 
-            for r, (v, places, own) in enumerate(zip(*(batch.column(c).to_pylist() for c in (at, kept_columns, kept_columns + 1)))):
+            for r, (v, own, *places) in enumerate(zip(*(batch.column(c).to_pylist() for c in (at, signs_at, *range(kept_columns, signs_at))))):
                 key = (v, tuple(own or ()))
                 got = seen.get(key)
                 if got is None:
-                    got = split_value(v, set(key[1]), held, pairs(places))
+                    got = split_value(v, set(key[1]), held, pairs(places[0] if places else None))
                     if len(v or "") <= 1000:
                         if len(seen) > 50_000:
                             seen.clear()
