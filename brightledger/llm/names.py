@@ -236,7 +236,7 @@ PIVOT_LETTERS = 64
 #: Points of a bucket (a small cell, or one segment of a larger one) that one task joins with its visitors; larger ones are split.
 CELL_POINTS = 4000
 #: Points from which on a cell is joined by segments.
-SMALL_CELL = 256
+SMALL_CELL = 1000
 
 
 def read_names(names: DataFrame) -> DataFrame:

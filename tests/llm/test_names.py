@@ -95,7 +95,7 @@ def lev(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize(("cell_points", "small"), [(4000, 256), (3, 256), (4000, 0), (2, 4)])
+@pytest.mark.parametrize(("cell_points", "small"), [(4000, 1000), (3, 1000), (4000, 0), (2, 4)])
 def test_radius_join_against_brute_force(spark, cell_points, small):
     rnd = random.Random(8)
     base = ["".join(rnd.choice("abk") + rnd.choice("aeo") for _ in range(rnd.randint(1, 7))) for _ in range(60)]
