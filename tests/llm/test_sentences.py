@@ -3,7 +3,7 @@ import time
 
 import pytest
 
-from brightledger.llm.sentences import lattice, sentence_spans, span_loss, split_sentences
+from brightledger.llm.sentences import HEADS, OPENERS, lattice, sentence_spans, span_loss, split_sentences
 
 
 def units(text):
@@ -149,3 +149,46 @@ def test_work_is_linear(make):
     assert took(16000) < 8 * took(4000) + 0.05  # four times the text; quadratic work takes sixteen times as long
 
 
+
+
+# Labelled units, none of which begins with a word on the module's lists of openers.
+LABELLED = {
+    "en": ["Mayor Lindqvist opened bidding on 14 March 2023.", "Suppliers paid 3.75 per kg. to Acme Corp. after tests.", "Gravel prices rose 12.5% within weeks!", "Has Prof. Okafor signed both copies?", 'Witness Marlow replied, "Nothing was missing." and sat down.',
+           "Engineers measured 4 ft. of water near Bridge No. 7.", "Trucks left at 6 a.m. sharp.", "Costs (see p. 12) doubled.", "Judge Adeyemi and J. P. Moreau abstained.", "Few objected… so voting began."],
+    "es": ["Ingenieros revisaron 3 puentes en abril.", "¿Quedan fondos para pintura?", "Nuestra oficina pagó 1.250,50 euros al Sr. Ibáñez.", "¡Felicitaciones a todo equipo!", "Doña Marta dijo: «Firmaremos mañana»."],
+    "de": ["Bauleiter Krüger kam am 3. Oktober zurück.", "Kosten stiegen z. B. um 4,5 Prozent.", "Wurde Beton bestellt?", "Frau Dr. Weiß unterschrieb.", "Lieferungen enden bald!"],
+    "el": ["Εργάτες έφτασαν νωρίς.", "Πόσα φορτηγά χρειάζονται;", "Ξεκίνησαν έργα αξίας 4,5 εκατ. ευρώ."],
+    "ar": ["وصلت الشاحنات مبكرا.", "كم شاحنة نحتاج؟", "بدأ العمل يوم 5 مارس."],
+    "hi": ["ट्रक जल्दी पहुँचे।", "कितने मजदूर चाहिए?", "काम 5 मार्च को शुरू हुआ।"],
+    "am": ["ሰራተኞች ቀድመው ደረሱ።", "ስንት መኪና ያስፈልጋል?", "ሥራው ተጀመረ።"],
+    "zh": ["卡车提前到达。", "需要多少工人？", "王经理说：“明天开工。”", "费用为3.5万元！"],
+    "ja": ["トラックは早く着いた。", "作業員は何人必要ですか？", "費用は3.5万円です。"],
+}
+
+
+def labelled(seed, n=300):
+    """Texts of random units with their spans: parted by blanks (none in Chinese and Japanese), line breaks or blank lines, some in one letter case."""
+    rnd = random.Random(seed)
+    for _ in range(n):
+        lang = rnd.choice(list(LABELLED))
+        parts = [rnd.choice(LABELLED[lang]) for _ in range(rnd.randint(1, 9))]
+        if lang in ("en", "es", "de") and rnd.random() < 0.15:
+            parts = [p.upper() for p in parts]
+        text, spans = "", []
+        for p in parts:
+            spans.append((len(text), len(text) + len(p)))
+            text += p + rnd.choice(["" if lang in ("zh", "ja") else " ", "" if lang in ("zh", "ja") else " ", "\n", "\n\n"])
+        yield lang, text, spans
+
+
+def test_recall_and_precision_on_labelled_units():
+    assert not {p.split()[0].strip("¿¡«“").casefold() for parts in LABELLED.values() for p in parts} & (OPENERS | HEADS)
+    right, true, found = {}, {}, {}
+    for lang, text, spans in labelled(12):
+        got = set(sentence_spans(text))
+        for count, x in ((right, len(got & set(spans))), (true, len(spans)), (found, len(got))):
+            count[lang] = count.get(lang, 0) + x
+    for lang in LABELLED:
+        recall, precision = right[lang] / true[lang], right[lang] / found[lang]
+        print(lang, true[lang], round(recall, 3), round(precision, 3))
+        assert recall >= 0.95 and precision >= 0.95, (lang, recall, precision)
