@@ -193,6 +193,9 @@ def held_blocks(listed: DataFrame | list[str] | None) -> tuple[list[Held], list[
     if listed is None or isinstance(listed, list):
         return [Held(listed or [])], listed or []
     names = listed.select(F.col(listed.columns[0]).cast("string").alias("x")).filter(F.col("x").isNotNull()).distinct()
+    some = sorted(r.x for r in names.limit(LISTED + 1).collect())
+    if len(some) <= LISTED and sum(map(len, some)) * 4 <= HELD_BYTES:
+        return [Held(some)], some
     some = [r.x for r in names.orderBy(F.xxhash64("x"), "x").limit(LISTED).collect()]
     signed = names.filter(F.col("x").rlike(r"[^\p{L}\p{N} ]|(?i)\b(?:and|at)\b"))
     blocks, block, size = [], [], 0
@@ -352,9 +355,12 @@ def unpack(df: DataFrame, column: str, listed: DataFrame | list[str] | None = No
     key = (F.col(source) if source else F.lit(None)).cast("string")
     joined = spread(rows).withColumn(k, F.coalesce(F.concat(F.lit("="), key), F.lit("null")))
     signs = signs.select(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")).alias(k), F.col("signs").alias(s))
-    signs = written(signs, "signs")
-    few = signs.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES
-    joined = (joined.join(F.broadcast(signs), k, "left") if few else keyed_join(joined, signs, k)).select(*rows.columns, s)
+    few = signs.limit(FEW_SOURCES + 1).collect()
+    if len(few) <= FEW_SOURCES:
+        signs = F.broadcast(df.sparkSession.createDataFrame(few, signs.schema))
+        joined = joined.join(signs, k, "left").select(*rows.columns, s)
+    else:
+        joined = keyed_join(joined, written(signs, "signs"), k).select(*rows.columns, s)
     schema = T.StructType([*df.schema.fields, T.StructField(names[0], T.IntegerType(), False), T.StructField(names[1], T.StringType(), False), T.StructField(names[2], T.IntegerType(), False)])
     held = blocks[0]
     kept_columns, signs_at = len(df.columns), len(wide)
