@@ -406,10 +406,16 @@ def evidence(wa: list[str], wb: list[str], ua: list[int], ub: list[int], pa_: tu
             if w in rest_b:
                 rest_a.remove(w)
                 rest_b.remove(w)
-        if len(rest_a) > 1:
-            return False
         if not rest_a:
             return True
+        if len(rest_a) == 2:  # a slip in each of two words, which both must be misspellings
+            x, y = rest_a
+            v, w = rest_b if edit(x, rest_b[0], 1) <= 1 else rest_b[::-1]
+            count_a, count_b = (lambda t: ua[wa.index(t)]), (lambda t: ub[wb.index(t)])
+            sure = lambda t, u: min(len(t), len(u)) >= 5 and edit(t, u, 1) <= 1 and _rare(t, u, count_a(t), count_b(u)) and min(count_a(t), count_b(u)) <= 1
+            return sure(x, v) and sure(y, w)
+        if len(rest_a) > 2:
+            return False
         a, b = rest_a[0], rest_b[0]
         used_a, used_b = ua[wa.index(a)], ub[wb.index(b)]
         if len(a) < 4 or len(b) < 4:

@@ -176,3 +176,11 @@ def test_hot_entity_is_split(spark, monkeypatch):
     monkeypatch.setattr(names, "ENTITY_POINTS", 5)
     got = [(r.name_a, r.name_b) for r in names.spelling_pairs(df).collect()]
     assert len(got) == len(set(got)) == 42 * 41 // 2
+
+
+def test_a_slip_in_each_of_two_words():
+    none = ("", "")
+    assert names.evidence(["tabodaki", "bobeduku"], ["tabodaxi", "bobeduxu"], [9, 9], [1, 1], none, none, 2)
+    assert names.evidence(["tabodaki", "bobeduku"], ["bobeduxu", "tabodaxi"], [9, 9], [1, 1], none, none, 2)
+    assert not names.evidence(["tabodaki", "bobeduku"], ["tabodaxi", "bobeduxu"], [9, 9], [1, 8], none, none, 2)
+    assert not names.evidence(["taba", "boba"], ["taxa", "boxa"], [9, 9], [1, 1], none, none, 2)
