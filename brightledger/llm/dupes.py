@@ -36,6 +36,8 @@ HELD = 4_000_000
 #: A group with over this share of the repeats is joined by broadcast; there are at most 1 / share such groups.
 HOT_SHARE = 0.002
 
+# Blanks of all scripts, so a character that is none of them.
+_FULL = r"[^\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _ASCII = re.compile(r"[^0-9a-z]+")
 
 
@@ -244,7 +246,7 @@ def _folded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def canonical_column(c: Column) -> Column:
     """``canonical`` of a text column: plain ASCII stays in the JVM, only other texts go through Python."""
-    plain = c.rlike(r"^\p{ASCII}*$")
+    plain = F.octet_length(c) == F.length(c)
     return F.when(plain, F.lower(F.regexp_replace(c, "[^0-9A-Za-z]+", ""))).otherwise(_folded(F.when(~plain, c)))
 
 
@@ -252,7 +254,7 @@ def _records(d: DataFrame, fields: int, src: str) -> DataFrame:
     """(src, key, canon, h) of the rows (key, f0, f1, ..., amount) of ``d`` with all fields present."""
     d = d.filter(F.col("key").isNotNull() & F.col("amount").isNotNull())
     for i in range(fields):
-        d = d.filter(F.col(f"f{i}").rlike(r"(?U)\S"))
+        d = d.filter(F.col(f"f{i}").rlike(_FULL))
     canon = F.concat_ws("\x1f", *[canonical_column(F.col(f"f{i}")) for i in range(fields)], (F.col("amount") + F.lit(0.0)).cast("string"))
     return d.select(F.lit(src).alias("src"), "key", canon.alias("canon")).withColumn("h", F.xxhash64("src", "canon"))
 
