@@ -58,8 +58,8 @@ PRIOR = 50
 OUT_LETTERS = 50_000_000
 #: A sign is taken from this score on.
 LEAST = 0.35
-#: Recurring values of the column, and counters of the sketch that finds them; listed values that score signs (all of them are honoured in splitting).
-STANDING, TRACKED, LISTED = 2_000, 8_192, 200_000
+#: Counters of the sketch that finds recurring values of the column; listed values that score signs from memory (more of them are joined, to the same scores).
+TRACKED, LISTED = 8_192, 200_000
 #: Bytes of listed names with signs in one broadcast; more of them take further passes over the rows, each narrow.
 HELD_BYTES = 16 << 20
 #: Sources whose signs are broadcast; the signs of more are joined by shuffle, hot sources apart.
@@ -73,6 +73,23 @@ def type_key(piece: str) -> str:
     return re.sub(r"[\W_]+", "", plain(piece))
 
 
+class _Folded(dict):
+    """Letters without their case, one for one."""
+
+    def __missing__(self, c: int) -> int:
+        forms = chr(c).casefold(), chr(c).lower()
+        self[c] = ord(next((x for x in forms if len(x) == 1), chr(c)))
+        return self[c]
+
+
+_FOLDED = _Folded({ord("İ"): ord("i"), ord("ı"): ord("i")})
+
+
+def caseless(text: str) -> str:
+    """``text`` without letter case, as long as before."""
+    return text.lower() if text.isascii() else text.translate(_FOLDED)
+
+
 def shape(piece: str) -> str:
     """Type of a piece by its look: number of words (about), letter case and digits."""
     words = piece.split()
@@ -86,28 +103,35 @@ class Held:
     """Listed names that hold a candidate sign, to be found in texts whatever their letter case."""
 
     def __init__(self, names: list[str]):
-        names = sorted({x for x in names if has_sign(x)}, key=lambda x: (-len(x), x))
-        self.pattern = re.compile(r"(?<!\w)(?=((?:" + "|".join(map(re.escape, names)) + r")(?!\w)))", re.IGNORECASE) if 0 < len(names) <= PATTERN_NAMES else None
+        names = sorted({caseless(x) for x in names if has_sign(x)}, key=lambda x: (-len(x), x))
+        self.pattern = re.compile(r"(?<!\w)(?=((?:" + "|".join(map(re.escape, names)) + r")(?!\w)))") if 0 < len(names) <= PATTERN_NAMES else None
         self.by: dict[str, list[str]] = {}
         if self.pattern is None:
             for x in names:
-                self.by.setdefault(x[:3].lower(), []).append(x.lower())
+                self.by.setdefault(x[:3], []).append(x)
+        self.starts = sorted({len(x) for x in self.by}, reverse=True)  # names of one or two letters are known by these
+
+    @staticmethod
+    def _end(names: list[str], low: str, i: int) -> int:
+        """Where the first of ``names`` that stands whole at ``i`` ends; 0 if none does."""
+        for x in names:
+            end = i + len(x)
+            if low.startswith(x, i) and not (end < len(low) and (low[end].isalnum() or low[end] == "_")):
+                return end
+        return 0
 
     def spans(self, text: str) -> list[tuple[int, int]]:
         """The longest name at each place of ``text`` where one begins."""
+        low = caseless(text)
         if self.pattern is not None:
-            return [(m.start(), m.end(1)) for m in self.pattern.finditer(text)]
+            return [(m.start(), m.end(1)) for m in self.pattern.finditer(low)]
         out = []
-        low = text.lower()
-        if not self.by or len(low) != len(text):  # letters that change length when lowered are in no listed name's reach
+        if not self.by:
             return out
         word = False
         for i, c in enumerate(low):
-            if not word and (names := self.by.get(low[i : i + 3])):
-                for x in names:
-                    if low.startswith(x, i) and not (i + len(x) < len(low) and (low[i + len(x)].isalnum() or low[i + len(x)] == "_")):
-                        out.append((i, i + len(x)))
-                        break
+            if not word and (end := next((e for k in self.starts if (names := self.by.get(low[i : i + k])) and (e := self._end(names, low, i))), 0)):
+                out.append((i, end))
             word = c.isalnum() or c == "_"
         return out
 
@@ -188,15 +212,15 @@ def pairs(places: list[int] | None) -> list[tuple[int, int]]:
     return list(zip(places[::2], places[1::2])) if places else []
 
 
-def held_blocks(listed: DataFrame | list[str] | None) -> tuple[list[Held], list[str]]:
-    """The listed names with signs in blocks of ``HELD_BYTES``, and up to ``LISTED`` listed values (in order of their hash) that score signs."""
+def held_blocks(listed: DataFrame | list[str] | None) -> tuple[list[Held], list[str] | DataFrame]:
+    """The listed names with signs in blocks of ``HELD_BYTES``, and all listed values as ``infer_signs`` takes them: a list up to ``LISTED``, else a table."""
     if listed is None or isinstance(listed, list):
         return [Held(listed or [])], listed or []
     names = listed.select(F.col(listed.columns[0]).cast("string").alias("x")).filter(F.col("x").isNotNull()).distinct()
     some = sorted(r.x for r in names.limit(LISTED + 1).collect())
     if len(some) <= LISTED and sum(map(len, some)) * 4 <= HELD_BYTES:
         return [Held(some)], some
-    some = [r.x for r in names.orderBy(F.xxhash64("x"), "x").limit(LISTED).collect()]
+    names = written(names, "listed")
     signed = names.filter(F.col("x").rlike(r"[^\p{L}\p{N} ]|(?i)\b(?:and|at)\b"))
     blocks, block, size = [], [], 0
     for r in signed.toLocalIterator():
@@ -208,40 +232,62 @@ def held_blocks(listed: DataFrame | list[str] | None) -> tuple[list[Held], list[
                 block, size = [], 0
     if block or not blocks:
         blocks.append(Held(block))
-    return blocks, some
+    return blocks, names
+
+
+def type_keys(names: DataFrame) -> DataFrame:
+    """(key) of the first column's values, each once and none empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([type_key(x) for x in batch.column(0).to_pylist()], pa.string())], names=["key"])
+
+    named = names.select(F.col(names.columns[0]).cast("string").alias("x")).filter(F.col("x").isNotNull())
+    return named.mapInArrow(run, "key string").filter("key <> ''").distinct()
 
 
 def standing_values(df: DataFrame, column: str) -> tuple[dict[str, int], int]:
     """Values that recur as whole fields without a parting sign, with their counts, and the number of such fields.
 
-    The most frequent ``STANDING`` at most come to the driver, from a mergeable sketch over all rows.
+    A value is one if at least 4 / ``TRACKED`` of these fields and two more hold it. What may be one comes to the driver from a mergeable sketch, which
+    misses none, and is then counted, so that neither the rows nor their order decide where the sketch is not exact.
     """
     v = F.trim(F.col(column).cast("string"))
     whole = df.filter((F.length(v) > 0) & ~F.col(column).cast("string").rlike(_WHOLE)).select(v.alias("v"))
-    found = whole.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(v, {STANDING}, {TRACKED})").alias("top")).first()
+    found = whole.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(v, {TRACKED}, {TRACKED})").alias("top")).first()
     least = 2 + 4 * found.n / TRACKED
-    return {x["item"]: x["count"] for x in (found.top or []) if x["item"] is not None and x["count"] >= least}, found.n
+    maybe = [x["item"] for x in (found.top or []) if x["item"] is not None and x["count"] >= least]
+    if not maybe:
+        return {}, found.n
+    few = df.sparkSession.createDataFrame([(x,) for x in maybe], "v string")
+    counts = whole.join(F.broadcast(few), "v", "left_semi").groupBy("v").count().filter(F.col("count") >= least)
+    return {r.v: r["count"] for r in counts.collect()}, found.n
 
 
-def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str] | None = None, held: Held | None = None, places: str | None = None) -> tuple[DataFrame, dict[str, float]]:
+def infer_signs(df: DataFrame, column: str, source: str | None, listed: DataFrame | list[str] | None = None, held: Held | None = None, places: str | None = None) -> tuple[DataFrame, dict[str, float]]:
     """(source, signs) of each source, and the pooled score of each sign.
 
-    ``listed`` are known values, if any; ``source`` names the column that tells sources apart (null is a source); ``places`` that of where further held names are.
+    ``listed`` are known values, if any (a list, or a table's first column, whose names with signs ``held`` has to have); ``source`` names the column that tells sources apart (null is a source); ``places`` that of where further held names are.
     A sign's score is the regularity of the pieces beside it, lowered where that differs between records of other piece counts, times the consistency of
     piece counts (1 / (1 + the square of their logarithm's mean deviation), which one long field does not spoil); a source's own score is mixed with the pooled one of all sources. A side is regular if its piece is a
     standing or listed value. Of other sides, beside a parting sign, as many count as two of the sign's sides are alike in shape, less the share of
     whole fields that standing and listed values explain: where values recur, a piece that never does is none. Counts are taken over all records.
+    A table of listed values is not brought together: sides that are no standing values are counted by their keys and joined with its keys.
     """
-    listed = listed or []
+    far = written(type_keys(listed), "keys") if isinstance(listed, DataFrame) else None
+    longest = far.agg(F.max(F.length("key"))).first()[0] or 0 if far is not None else 0
+    listed = listed if far is None and listed else []
     standing, whole = standing_values(df, column)
     types = (frozenset(type_key(x) for x in listed) | frozenset(map(type_key, standing))) - {""}
     covered = min(1.0, sum(n for x, n in standing.items() if type_key(x) in types) / whole) if whole else 0.0
     src = df.select((F.col(source) if source else F.lit(None)).cast("string").alias("source"), F.col(column).cast("string").alias("v"), *([F.col(places).alias("places")] if places else []))
-    out = T.StructType([T.StructField("source", T.StringType()), T.StructField("sign", T.StringType()), T.StructField("pieces", T.IntegerType()), T.StructField("shape", T.StringType()), T.StructField("places", T.LongType()), T.StructField("sides", T.LongType()), T.StructField("known", T.LongType())])
+    alone = ["source", "sign", "pieces", "shape"]
+    parts = [*alone, "key"] if longest else alone
+    out = T.StructType([T.StructField(c, T.IntegerType() if c == "pieces" else T.StringType()) for c in parts] + [T.StructField(c, T.LongType()) for c in ("places", "sides", "known")])
     held = held or Held(listed)
 
-    def observed(v: str, places: list[int] | None) -> list[tuple[str, int, str, int, int, int]]:
-        """(sign, pieces, shape, places, sides, known sides) of one field; the places of a sign are counted with its first shape."""
+    def observed(v: str, places: list[int] | None) -> list[tuple]:
+        """((sign, pieces, shape, and a key that a table may list), places, sides, known sides) of one field; the places of a sign are counted with its first shape."""
         masked = _mask(v)
         masked = _hold(masked, [*held.spans(masked), *pairs(places)])
         numbers = [m.span() for m in _NUMBER.finditer(masked)]
@@ -258,15 +304,16 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
             parted = [i for i in (at[c] for c in here) if texts[i] and texts[i + 1]]
             if parted:
                 sides, known = Counter(), Counter()
-                good: dict[str, bool] = {}
+                good: dict[str, tuple[tuple, bool]] = {}
                 for i in parted:
                     for x in (texts[i], texts[i + 1]):
                         if x not in good:
-                            good[x] = type_key(x) in types
-                        s = shape(x)
+                            key = type_key(x)
+                            good[x] = (shape(x), *([key if key not in types and 0 < len(key) <= longest else None] if longest else [])), key in types
+                        s, is_known = good[x]
                         sides[s] += 1
-                        known[s] += good[x]
-                out.extend((k, len(here) + 1, s, len(parted) if i == 0 else 0, n, known[s]) for i, (s, n) in enumerate(sides.items()))
+                        known[s] += is_known
+                out.extend(((k, len(here) + 1, *s), len(parted) if i == 0 else 0, n, known[s]) for i, (s, n) in enumerate(sides.items()))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,16 +330,21 @@ def infer_signs(df: DataFrame, column: str, source: str | None, listed: list[str
                         if len(seen) > 50_000:
                             seen.clear()
                         seen[v] = got
-                for k, pieces, form, m, n, r in got:
-                    x = total.setdefault((s, k, pieces, form), [0, 0, 0])
+                for k, m, n, r in got:
+                    x = total.setdefault((s, *k), [0, 0, 0])
                     x[0] += m
                     x[1] += n
                     x[2] += r
             rows = [(*k, *x) for k, x in total.items()]
-            kinds = pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()
+            kinds = [pa.int32() if c == "pieces" else pa.string() for c in parts] + [pa.int64()] * 3
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=out.names)
 
-    counts = written(spread(src).mapInArrow(run, out).groupBy("source", "sign", "pieces", "shape").agg(*[F.sum(c).alias(c) for c in ("places", "sides", "known")]), "signs")
+    added = lambda df, keys: df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("places", "sides", "known")])
+    counts = added(spread(src).mapInArrow(run, out), parts)
+    if longest:
+        met = counts.join(far.withColumn("met", F.lit(True)), "key", "left")
+        counts = added(met.withColumn("known", F.when(F.col("met"), F.col("sides")).otherwise(F.col("known"))), alone)
+    counts = written(counts, "signs")
     keys = ["source", "sign"]
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("sign") == F.col("k"))
     # How alike in shape two sides of a sign are, for its unknown ones.

@@ -119,3 +119,48 @@ def test_names_by_first_letters_as_by_pattern(monkeypatch):
 def test_long_text(spark):
     df = data(spark).select("id", "src", "f").unionByName(spark.createDataFrame([(99, "s", "; ".join(["Alpha"] * 20_000))], "id int, src string, f string"))
     assert packed.unpack(df, "f", LISTED, "src").filter("id = 99").count() == 20_000
+
+
+def random_fields(n=400):
+    """Fields of two or three values parted by a hyphen or "at", which only a list of the values shows to be signs."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4))).title()
+    fields = [[word() for _ in range(rnd.randint(2, 3))] for _ in range(n)]
+    return [(i, rnd.choice("ab"), rnd.choice([" at ", " - "]).join(x)) for i, x in enumerate(fields)], sorted({w for x in fields for w in x})
+
+
+def test_all_listed_values_score_signs_whatever_their_number(spark, monkeypatch):
+    rows, names = random_fields()
+    df = spark.createDataFrame(rows, "id int, src string, f string")
+    listed = spark.createDataFrame([(x.upper(),) for x in [*names, *(f"Other {i}" for i in range(500))]] + [("--",), (None,)], "token string")
+
+    def found():
+        blocks, some = packed.held_blocks(listed)
+        signs, pooled = packed.infer_signs(df, "f", "src", some, blocks[0])
+        rows = sorted((r.id, r.pos, r.value) for r in packed.unpack(df, "f", listed, "src").collect())
+        return sorted(map(tuple, signs.collect())), {k: round(x, 9) for k, x in pooled.items()}, rows
+
+    want = found()
+    assert want[1]["at"] > packed.LEAST and want[1]["spaced hyphen"] > packed.LEAST
+    for size in (0, 20, 600):
+        monkeypatch.setattr(packed, "LISTED", size)
+        assert found() == want
+
+
+@pytest.mark.parametrize("text", ["İlçe; bula-lakan", "BULA-LAKAN/İ", "a+; R/ & x", "ΣΑΣ-ΟΔΟΣ; σας-οδος, ςας-οδοσ", "Kuta-ſama\u212a", "kuta-samak"])
+def test_short_and_foreign_names_by_first_letters_as_by_pattern(monkeypatch, text):
+    names = [*LISTED, "a+", "R/", "Σας-Οδος", "Kuta-Samak"]
+    want = packed.Held(names).spans(text)
+    assert want
+    monkeypatch.setattr(packed, "PATTERN_NAMES", 0)
+    assert packed.Held(names).spans(text) == want
+
+
+def test_standing_values_are_counted_and_not_estimated(spark):
+    # More distinct values than the sketch holds; those that come last are overrated by what it has dropped by then.
+    data = [(f"v{i}",) for i in range(5 * packed.TRACKED)] + [(f"Seldom {i}",) for i in range(20) for _ in range(20)] + [("Often",)] * 40
+    least = 2 + 4 * len(data) / packed.TRACKED
+    assert 20 < least < 24
+    df = spark.createDataFrame(data, "f string")
+    for rows in (df.coalesce(1), df.repartition(5)):
+        assert packed.standing_values(rows, "f") == ({"Often": 40}, len(data))
