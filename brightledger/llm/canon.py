@@ -36,6 +36,8 @@ SAME_WORD = {
 
 #: Score from which on the best name is accepted, and its lead on the next.
 LEAST, MARGIN = 0.45, 0.03
+#: The most that a form unlike the value's can score: others may have all of its n-grams, and sums of doubles may come out above 1.
+UNLIKE = math.nextafter(1.0, 0.0)
 #: Listed names of one pass; a longer list takes more passes over the distinct values.
 BLOCK_NAMES = 200_000
 
@@ -182,6 +184,7 @@ class Index:
         score: dict[int, float] = {}
 
         def raised(i: int, x: float) -> None:
+            x = min(x, UNLIKE)
             if x > score.get(i, 0.0):
                 score[i] = x
 
@@ -265,7 +268,7 @@ def map_values(df: DataFrame, value: str, listed: DataFrame, token: str = "token
     several canonical names means the first in order. Values may be of any length.
 
     The listed names are broadcast in blocks of ``BLOCK_NAMES``; the best of each block are merged by value. N-grams weigh by the whole
-    list, so blocks do not matter to scores.
+    list, only an equal form scores 1, and ties go by name, so blocks do not matter to results.
     """
     spark = df.sparkSession
     vals = df.select(F.col(value).cast("string").alias("value")).filter(F.col("value").isNotNull()).distinct()
@@ -300,7 +303,7 @@ def map_values(df: DataFrame, value: str, listed: DataFrame, token: str = "token
         for p in parts[1:]:
             found = found.unionByName(p)
         each = found.select("value", F.explode_outer("found").alias("x")).groupBy("value", F.col("x.canonical").alias("canonical")).agg(F.max("x.score").alias("score"))
-        found = each.groupBy("value").agg(F.slice(F.sort_array(F.collect_list(F.when(F.col("score").isNotNull(), F.struct("score", "canonical"))), False), 1, 3).alias("found"))
+        found = each.groupBy("value").agg(F.slice(F.sort_array(F.collect_list(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("below"), "canonical", "score")))), 1, 3).alias("found"))
     first, second = F.get("found", F.lit(0)), F.get("found", F.lit(1))
     good = (first["score"] >= least) & ((first["score"] > 1) | second.isNull() | ((first["score"] == 1) & (second["score"] < 1)) | (first["score"] - second["score"] >= margin))
     return found.select("value", F.when(good, first["canonical"]).otherwise(F.lit(none)).alias(out), F.least(F.coalesce(first["score"], F.lit(0.0)), F.lit(1.0)).alias("score"))

@@ -119,3 +119,21 @@ def test_two_slips_are_found_among_many_like_names():
     a, b = r.sample(range(6), 2)
     meant = "".join("z" if i == a else "x" if i == b else c for i, c in enumerate(value))
     assert canon.Index([*rows, (meant, "meant")]).best(value)[0] == (0.55, "meant")
+
+
+# Each pair of names has the same n-grams.
+TWINS = [(f"{a}{x}{a}{y}{a}", f"{a}{y}{a}{x}{a}") for a in ("Ba", "Kut", "Rani") for x, y in (("nu", "do"), ("s", "lim"), ("gora", "te"), ("mi", "peku"))]
+
+
+@pytest.mark.parametrize("margin", [canon.MARGIN, 0.0])
+def test_length_of_the_list_does_not_matter_to_like_names(spark, monkeypatch, margin):
+    # Typed as listed but for letter case, with a slip that is as near to either, or not at all like them.
+    names = [x for pair in TWINS for x in pair]
+    areas = spark.createDataFrame([*((x, x) for x in names), ("Talusanin A", "one"), ("A Talusanin", "two"), ("Talusanin B", "b"), ("Talusanin C", "c")], "token string, canonical string")
+    df = spark.createDataFrame([(v,) for x in names for v in (x, x.upper(), x[:-1])] + [(v,) for v in ("TALUSANIN A", "Talusanin", "TALUSANIN D", "", "none")], "v string")
+    found = lambda: {r.value: (r.canonical, r.score) for r in canon.map_values(df, "v", areas, margin=margin).collect()}
+    want = found()
+    assert all(want[x.upper()] == (x, 1.0) for x in names)
+    for size in (1, 3, 10):
+        monkeypatch.setattr(canon, "BLOCK_NAMES", size)
+        assert found() == want
